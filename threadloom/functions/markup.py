@@ -91,6 +91,11 @@ def _until_closed(chunk: Column, name: str) -> Column:
     return F.aggregate(tokens, start, step, lambda acc: F.left(chunk, acc[1]))
 
 
+def without_hidden(html: Column) -> Column:
+    """A page without comments and scripts, where tags mean nothing."""
+    return F.regexp_replace(html, r"(?s)<!--.*?-->|<(?i:script)\b.*?</(?i:script)\s*>", "")
+
+
 def regions(c: Column, tag: Tag) -> Column:
     """Outer HTML of every element ``tag`` opens, in document order (array of strings)."""
     chunks = F.filter(F.split(c, f"(?={tag.pattern})"), lambda x: x.rlike(f"^{tag.pattern}"))

@@ -27,9 +27,9 @@ def matches_keyword(c: Column, keywords: Iterable[str], literal: bool = False) -
     return c.rlike(keyword_pattern(keywords, literal))
 
 
-def in_date_range(ts: Column, start: str | datetime, as_of: Column) -> Column:
+def in_date_range(ts: Column, start: str | datetime | Column, as_of: Column) -> Column:
     """From the start date at 00:00 UTC up to ``as_of``, both ends included."""
-    return ts.between(instant(start), as_of)
+    return ts.between(start if isinstance(start, Column) else instant(start), as_of)
 
 
 def link_status(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.functions.links import absolute_link
-from threadloom.functions.markup import Tag, first, nested_regions
+from threadloom.functions.markup import Tag, first, nested_regions, without_hidden
 
 _TAIL_DATE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}"
 
@@ -29,7 +29,7 @@ class Records:
         if self.pattern:
             found = F.regexp_extract_all(html, F.lit(self.pattern), F.lit(1))
         else:
-            found = nested_regions(html, self.path)
+            found = nested_regions(without_hidden(html), self.path)
         if self.only_first:
             return F.slice(found, 1, 1)
         return F.filter(found, lambda _, i: i >= self.skip) if self.skip else found

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -26,7 +27,10 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def get_spark(app: str = "threadloom", master: str | None = None, **conf: str) -> SparkSession:
+    """A session with the library's settings; ``__`` in keyword names stands for a dot."""
     builder = SparkSession.builder.appName(app)
+    # Call sites of every column expression cost several round trips to the JVM each.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
@@ -40,14 +44,17 @@ def shared_dir(spark: SparkSession) -> str:
     A cluster names it in ``spark.checkpoint.dir``. Only a local session, where driver and
     executors are one process, may fall back to a temporary folder.
     """
-    path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
-    if path is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        path = tempfile.mkdtemp(prefix="threadloom-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
-    return path
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if path is None:
+            if not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+            path = tempfile.mkdtemp(prefix="threadloom-")
+        context.setCheckpointDir(path)
+    return context.getCheckpointDir()
+
+
+def fresh_folder(spark: SparkSession, purpose: str) -> str:
+    """A path in the shared folder that no other run uses; nothing is created yet."""
+    return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"

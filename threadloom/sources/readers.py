@@ -40,9 +40,13 @@ def keyword_list(keywords: DataFrame, limit: int = KEYWORD_BYTES) -> list[str]:
     return [row.keyword for row in keywords.orderBy("ord").collect()]
 
 
-def read_seeds(spark: SparkSession, path: str, site: str) -> DataFrame:
-    """Seed forums from a JSON array of name, url and (optional) description."""
-    reader = spark.read.schema(schemas.SEED_FILE).option("multiLine", True).option("mode", "FAILFAST")
+def read_seeds(spark: SparkSession, path: str, site: str, multi_line: bool = True) -> DataFrame:
+    """Seed forums from a JSON array of name, url and (optional) description.
+
+    Without ``multi_line`` each line holds an array of its own, and large files are split.
+    """
+    reader = spark.read.schema(schemas.SEED_FILE)
+    reader = reader.option("multiLine", multi_line).option("mode", "FAILFAST")
     return _load(reader.format("json"), path).select(
         F.lit(site).alias("site"),
         F.monotonically_increasing_id().alias("ord"),
