@@ -31,35 +31,44 @@ def canonical_url(c: Column) -> Column:
     No fragment, lower-case scheme and host, "/" for an empty path, query arguments sorted
     (blank ones kept, empty pieces dropped), escapes in upper case.
     """
-    plain = F.regexp_replace(c, r"(?s)#.*$", "")
-    return let(let(plain, _normalised), _upper_escapes)
+    return let(let(F.regexp_replace(c, r"(?s)#.*$", ""), _parts), _joined)
 
 
-def _normalised(plain: Column) -> Column:
-    head = F.regexp_extract(plain, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?]*)", 1)
-    tail = F.substring(plain, F.length(head) + 1, F.length(plain))
-    path = F.regexp_extract(tail, r"(?s)^([^?]*)", 1)
+_HEAD = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?]*)"
+
+
+def _parts(plain: Column) -> Column:
+    """Scheme with host, path, and the query arguments in order."""
     args = F.filter(
-        F.split(F.substring(tail, F.length(path) + 2, F.length(tail)), "&"), lambda a: a != ""
+        F.split(F.regexp_extract(plain, r"(?s)^[^?]*\?(.*)$", 1), "&"), lambda a: a != ""
     )
     args = F.transform(args, lambda a: F.when(a.contains("="), a).otherwise(F.concat(a, F.lit("="))))
-    query = F.array_join(F.array_sort(args), "&")
-    return F.concat(
-        F.lower(head),
+    return F.array(
+        F.lower(F.regexp_extract(plain, _HEAD, 1)),
+        F.regexp_extract(plain, rf"(?s){_HEAD.replace('(', '(?:', 1)}?([^?]*)", 1),
+        F.array_join(F.array_sort(args), "&"),
+    )
+
+
+def _joined(parts: Column) -> Column:
+    head, path, query = parts[0], parts[1], parts[2]
+    url = F.concat(
+        head,
         F.when((path == "") & (head != ""), "/").otherwise(path),
-        F.when(F.size(args) == 0, "").otherwise(F.concat(F.lit("?"), query)),
+        F.when(query == "", "").otherwise(F.concat(F.lit("?"), query)),
     )
+    return let(url, _upper_escapes)
 
 
-def _upper_escapes(joined: Column) -> Column:
+def _upper_escapes(url: Column) -> Column:
     # Escapes are rare, so only links that have one pay for the split.
     upper = F.array_join(
         F.transform(
-            F.split(joined, "%", -1),
+            F.split(url, "%", -1),
             lambda x, i: F.when(i == 0, x).otherwise(
                 F.concat(F.upper(F.left(x, F.lit(2))), F.substring(x, F.lit(3), F.length(x)))
             ),
         ),
         "%",
     )
-    return F.when(joined.contains("%"), upper).otherwise(joined)
+    return F.when(url.contains("%"), upper).otherwise(url)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from threadloom.operators.filters import KEEP
 from threadloom.operators.lookup import lookup_join
 
-SALTS = 64
+SALTS = 512
 
 
 def _last_of_first(keys: DataFrame, n: int) -> DataFrame:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from threadloom.functions.binding import let
 from threadloom.functions.dates import instant
 from threadloom.functions.links import canonical_url, host
 
@@ -59,11 +61,12 @@ def allowed_host(url: Column, domains: Iterable[str]) -> Column:
     names = [d.lower() for d in domains]
     if not names:
         return F.lit(True)
-    found = F.coalesce(host(url), F.lit(""))
-    verdict = found.isin(names)
-    for name in names:
-        verdict = verdict | found.endswith("." + name)
-    return verdict
+
+    def verdict(found: Column) -> Column:
+        inside = [found.endswith("." + name) for name in names]
+        return reduce(Column.__or__, inside, found.isin(names))
+
+    return let(F.coalesce(host(url), F.lit("")), verdict)
 
 
 def first_per_link(df: DataFrame, link: str, order: Iterable[str]) -> DataFrame:

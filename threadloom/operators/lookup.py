@@ -1,30 +1,23 @@
-"""Lookup joins that carry parent fields to pages, and the size check in front of broadcasts."""
+"""Lookup joins that carry parent fields to pages. Broadcasts depend on known file sizes."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 64 << 20
-NO_DESCRIPTION = "No description provided"
-
+from threadloom.session import stored
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Measure a table: does it hold at most ``rows`` rows and ``size`` bytes of JSON text?"""
-    n, total = df.agg(
-        F.count("*"), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
-    ).first()
-    return n <= rows and total <= size
+NO_DESCRIPTION = "No description provided"
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Join a wide table with a lookup table without moving the wide one when that is safe.
+    """Join a wide table with a derived lookup table without moving the wide one when that is safe.
 
-    ``small`` is measured. Within the limits it is broadcast; beyond them the join is left to
-    the adaptive planner, which shuffles both sides and splits hot keys.
+    Spark can only guess how large an aggregate will be, and guesses high, so the lookup table
+    is stored first. Its file size is then a fact: below ``spark.sql.autoBroadcastJoinThreshold``
+    it is broadcast, above it both sides are shuffled and hot keys split. No hint is given.
     """
-    return big.join(F.broadcast(small) if fits_broadcast(small) else small, on, how)
+    return big.join(stored(small, "lookup"), on, how)
 
 
 def with_forum(pages: DataFrame, seeds: DataFrame) -> DataFrame:

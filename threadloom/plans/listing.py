@@ -19,7 +19,7 @@ from threadloom.operators.lookup import with_forum
 from threadloom.operators.records import explode_items
 from threadloom.operators.validate import REASON, accepted, clean_validate, rejects
 from threadloom.profiles import Listing, SiteProfile
-from threadloom.session import configure, shared_dir
+from threadloom.session import configure, stored
 
 
 def _instant(listing: Listing, zone: str, raw: Column, as_of: Column) -> Column:
@@ -129,18 +129,17 @@ def listing_job(
 ) -> ListingResult:
     """Threads, rejects and statistics of one site's list pages.
 
-    ``reuse`` writes the extracted page items to the shared checkpoint folder, so the HTML is
-    read and searched once for all three results; without it each result scans the pages.
+    ``reuse`` stores the extracted page items in the shared folder, so the HTML is read and
+    searched once for all three results; without it each result scans the pages.
     """
-    spark = configure(pages.sparkSession)
+    configure(pages.sparkSession)
     listing = profile.listing
     site_seeds = first_per_link(seeds.filter(F.col("site") == profile.site), "url", ["ord", "url"])
     site_pages = pages.filter(F.col("site") == profile.site)
     capped = crawl.first_pages(site_pages, listing.page_cap)
     items = with_forum(page_items(capped, profile, keywords, as_of), site_seeds)
     if reuse:
-        shared_dir(spark)
-        items = items.checkpoint()
+        items = stored(items, "items")
     if listing.stop_at_empty:
         items = crawl.pages_until_empty(items.withColumn("n_items", F.size("items")))
     stats = crawl.forum_stats(items)

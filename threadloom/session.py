@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # All of these may be changed on a running session.
 RUNTIME_CONF = {
@@ -58,3 +58,13 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
     """A path in the shared folder that no other run uses; nothing is created yet."""
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written as Parquet to the shared folder and read back.
+
+    Computed once, safe when executors are lost, read by column, and of a size Spark knows.
+    """
+    path = fresh_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
