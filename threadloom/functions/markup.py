@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from threadloom.functions.binding import let
 from threadloom.functions.entities import decode_entities
 
 # Elements that have no end tag.
@@ -75,9 +76,19 @@ def every(c: Column, pattern: str) -> Column:
     return F.transform(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), lambda x: decode_entities(x))
 
 
+# Stands in front of each tag of interest while a text is cut. It is no character of any text,
+# and a one-character separator spares ``split`` a look-ahead at every position.
+_CUT = "\uffff"
+
+
+def _cut(text: Column, pattern: str) -> Column:
+    """The text in pieces that begin where ``pattern`` matches; what comes before the first match is dropped."""
+    return F.slice(F.split(F.regexp_replace(text, pattern, _CUT + "$0"), _CUT, -1), 2, 1 << 30)
+
+
 def _until_closed(chunk: Column, name: str) -> Column:
     """Cut a text that starts with a ``name`` tag behind the end tag that closes it."""
-    tokens = F.split(chunk, rf"(?i)(?=<{name}[\s>/]|</{name}[\s>])")
+    tokens = _cut(chunk, rf"</?(?i:{name})(?=[\s>/])")
 
     def step(acc: Column, tok: Column) -> Column:
         depth, length = acc[0], acc[1]
@@ -93,13 +104,12 @@ def _until_closed(chunk: Column, name: str) -> Column:
 
 def without_hidden(html: Column) -> Column:
     """A page without comments and scripts, where tags mean nothing."""
-    return F.regexp_replace(html, r"(?s)<!--.*?-->|<(?i:script)\b.*?</(?i:script)\s*>", "")
+    return F.regexp_replace(html, r"(?s)<(?:!--.*?--|(?i:script)\b.*?</(?i:script)\s*)>", "")
 
 
 def regions(c: Column, tag: Tag) -> Column:
     """Outer HTML of every element ``tag`` opens, in document order (array of strings)."""
-    chunks = F.filter(F.split(c, f"(?={tag.pattern})"), lambda x: x.rlike(f"^{tag.pattern}"))
-    return F.transform(chunks, lambda x: _until_closed(x, tag.name))
+    return F.transform(_cut(c, tag.pattern), lambda x: _until_closed(x, tag.name))
 
 
 def nested_regions(c: Column, path: tuple[Tag, ...]) -> Column:
@@ -116,20 +126,33 @@ def outer_html(c: Column, tag: Tag) -> Column:
 
 
 def inner_html(c: Column, tag: Tag) -> Column:
-    return F.regexp_replace(outer_html(c, tag), rf"(?is)^<[^>]*>|</{tag.name}\s*>$", "")
+    """The first element ``tag`` opens, without its tags; null when there is none."""
+
+    def body(region: Column) -> Column:
+        start = F.instr(region, ">") + 1
+        end_tag = F.substring_index(region, "</", -1)
+        closed = F.length(region) - F.length(end_tag) - 1 - start
+        left = F.when(end_tag.rlike(rf"(?i)^{tag.name}\s*>$"), closed).otherwise(F.length(region))
+        return F.substring(region, start, left)
+
+    return let(outer_html(c, tag), body)
 
 
 def direct_texts(region: Column) -> Column:
-    """Text nodes that are children of the region's own element, not of elements inside it."""
-    tokens = F.split(F.regexp_replace(region, r"(?s)<!--.*?-->", ""), r"(?=</?[a-zA-Z])")
+    """Text nodes that are children of the region's own element, not of elements inside it.
+
+    The region comes out of a page without comments.
+    """
+    # Elements without content end a text but leave the depth as it is.
+    empty = rf"(?i)^<(?:(?:{VOID})[\s>/]|[^>]*/>)"
 
     def step(acc: Column, tok: Column) -> Column:
-        depth = acc["depth"] + F.when(tok.startswith("</"), -1).when(
-            ~tok.rlike("^<") | tok.rlike(rf"(?is)^<(?:{VOID})\b|^<[^>]*/>"), 0
-        ).otherwise(1)
-        text = F.regexp_replace(tok, r"(?s)^</?[a-zA-Z][^>]*>", "")
+        change = F.when(tok.startswith("</"), -1).when(tok.rlike(empty), 0).otherwise(1)
+        depth = acc["depth"] + change
+        text = F.substring(tok, F.instr(tok, ">") + 1, F.length(tok))
         texts = F.when((depth == 1) & (text != ""), F.concat(acc["texts"], F.array(text)))
         return F.struct(depth.alias("depth"), F.coalesce(texts, acc["texts"]).alias("texts"))
 
     start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("texts"))
-    return F.transform(F.aggregate(tokens, start, step, lambda acc: acc["texts"]), lambda x: decode_entities(x))
+    texts = F.aggregate(_cut(region, "</?[a-zA-Z]"), start, step, lambda acc: acc["texts"])
+    return F.transform(texts, lambda x: decode_entities(x))

@@ -26,13 +26,18 @@ class Records:
     skip: int = 0
 
     def column(self, html: Column) -> Column:
+        """The records of a page."""
+        return self.inside(html if self.pattern else without_hidden(html))
+
+    def inside(self, text: Column) -> Column:
+        """The records of a text that is free of comments and scripts."""
         if self.pattern:
-            found = F.regexp_extract_all(html, F.lit(self.pattern), F.lit(1))
+            found = F.regexp_extract_all(text, F.lit(self.pattern), F.lit(1))
         else:
-            found = nested_regions(without_hidden(html), self.path)
+            found = nested_regions(text, self.path)
         if self.only_first:
             return F.slice(found, 1, 1)
-        return F.filter(found, lambda _, i: i >= self.skip) if self.skip else found
+        return F.slice(found, self.skip + 1, 1 << 30) if self.skip else found
 
 
 def explode_items(df: DataFrame, array: str, item: str) -> DataFrame:

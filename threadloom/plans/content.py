@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.functions.markup import every, firsts
+from threadloom.functions.binding import let
+from threadloom.functions.markup import every, firsts, nested_regions, without_hidden
 from threadloom.functions.text import fallback
 from threadloom.operators.filters import allowed_host, first_per_link, usable_worklist
 from threadloom.operators.lookup import with_thread
@@ -17,8 +18,8 @@ from threadloom.profiles import PostPart, SiteProfile
 from threadloom.session import configure
 
 
-def _posts(html: Column, part: PostPart) -> Column:
-    """The posts one part of a profile finds in a page, as an array of structs."""
+def _posts(records: Column, part: PostPart) -> Column:
+    """The posts of one part of a profile, as an array of structs."""
     def fields(r: Column, i: Column) -> Column:
         tail = every(r, part.tail) if part.tail else F.lit(None).cast("array<string>")
         return F.struct(
@@ -41,14 +42,30 @@ def _posts(html: Column, part: PostPart) -> Column:
             F.lit(not (part.date or part.tail)).alias("thread_dated"),
         )
 
-    return F.transform(F.transform(part.records.column(html), fields), post)
+    return F.transform(F.transform(records, fields), post)
 
 
 def page_posts(pages: DataFrame, profile: SiteProfile) -> DataFrame:
     """One row per page with all its posts, main post first, as an array; the HTML ends here."""
     keys = [c for c in pages.columns if c != "html"]
-    parts = [_posts(F.col("html"), part) for part in profile.posts]
-    posts = F.concat(*parts) if len(parts) > 1 else parts[0]
+    html, parts, scope = F.col("html"), profile.posts, profile.post_scope
+    if not scope:
+        lists = [_posts(part.records.column(html), part) for part in parts]
+        posts = F.concat(*lists) if len(lists) > 1 else lists[0]
+    elif len(parts) == 1:
+        path = (*scope, *parts[0].records.path)
+        posts = _posts(nested_regions(without_hidden(html), path), parts[0])
+    else:
+        # The scopes are cut out once and every part looks for its records in them.
+        def all_parts(scopes: Column) -> Column:
+            found = []
+            for part in parts:
+                records = part.records
+                inside = F.flatten(F.transform(scopes, lambda x: records.inside(x)))
+                found.append(_posts(F.slice(inside, 1, 1) if records.only_first else inside, part))
+            return F.concat(*found)
+
+        posts = let(nested_regions(without_hidden(html), scope), all_parts)
     return pages.select(*keys, posts.alias("posts"))
 
 

@@ -58,19 +58,21 @@ class PostPart:
 
 @dataclass(frozen=True)
 class SiteProfile:
+    """A site. ``post_scope`` is the tag path all parts of a thread page lie in."""
+
     site: str
     base_url: str
     domains: tuple[str, ...]
     zone: str
     listing: Listing
     posts: tuple[PostPart, ...]
+    post_scope: tuple[Tag, ...] = ()
     next_page: str | None = None
     post_rules: tuple[Check, ...] = field(default=POST_RULES)
 
 
 # ---- Fixed values: hosts, selectors, limits and start dates of the supported sites. ----
 
-_AH_SECTION = Tag("section", ("fn-container",))
 _AH_AUTHOR = text_in(Tag("div", ("user-name",)), Tag("a", ("name",)))
 
 AUTOHOME = SiteProfile(
@@ -88,7 +90,7 @@ AUTOHOME = SiteProfile(
     ),
     posts=(
         PostPart(
-            records=Records(path=(_AH_SECTION, Tag("div", ("post-wrap",))), only_first=True),
+            records=Records(path=(Tag("div", ("post-wrap",)),), only_first=True),
             author=_AH_AUTHOR,
             text=lambda r: joined_text(
                 F.flatten(
@@ -101,7 +103,7 @@ AUTOHOME = SiteProfile(
         ),
         PostPart(
             records=Records(
-                path=(_AH_SECTION, Tag("ul", ("reply-wrap",)), Tag("li", ("js-reply-floor-container",)))
+                path=(Tag("ul", ("reply-wrap",)), Tag("li", ("js-reply-floor-container",)))
             ),
             author=_AH_AUTHOR,
             date=text_in(Tag("span", ("reply-static-text",)), Tag("strong"), strict=True),
@@ -119,6 +121,7 @@ AUTOHOME = SiteProfile(
             first_position=2,
         ),
     ),
+    post_scope=(Tag("section", ("fn-container",)),),
 )
 
 TIEBA = SiteProfile(
@@ -140,12 +143,13 @@ TIEBA = SiteProfile(
     ),
     posts=(
         PostPart(
-            records=Records(path=(Tag("div", ("p_postlist",)), Tag("div", ("l_post",)))),
+            records=Records(path=(Tag("div", ("l_post",)),)),
             author=text_in(Tag("a", ("p_author_name",))),
             tail=text_in(Tag("span", ("tail-info",))),
             text=lambda r: element_text(outer_html(r, Tag("div", ("d_post_content",)))),
         ),
     ),
+    post_scope=(Tag("div", ("p_postlist",)),),
 )
 
 TESLA = SiteProfile(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from threadloom.functions.links import host
 from threadloom.profiles import ARTICLES
 from threadloom.session import configure
+from threadloom.sources.readers import read_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,7 +36,7 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_pages(spark, f"{sf_dir}/{name}.parquet")
 
 
 def page_table(spark: SparkSession, sf_dir: str, site: str = ARTICLES.site) -> DataFrame:

@@ -58,7 +58,17 @@ def read_seeds(spark: SparkSession, path: str, site: str, multi_line: bool = Tru
 
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """The table of fetched pages. Partition it by site (and fetch day) so runs prune by folder."""
-    return _load(spark.read.format(fmt), path)
+    return spread(_load(spark.read.format(fmt), path))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores when the files give fewer splits than there are cores.
+
+    Extraction is bound by CPU, so a small input in one file would keep one core busy. A large
+    input has more splits than cores and is left alone: no page is shuffled at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def read_page_files(spark: SparkSession, pattern: str, site: str, seed_url: str) -> DataFrame:
