@@ -130,7 +130,8 @@ def listing_job(
     """Threads, rejects and statistics of one site's list pages.
 
     ``reuse`` stores the extracted page items in the shared folder, so the HTML is read and
-    searched once for all three results; without it each result scans the pages.
+    searched once for all three results; without it each result scans the pages. A profile that
+    stops at an empty page needs the items twice, so there they are always stored.
     """
     configure(pages.sparkSession)
     listing = profile.listing
@@ -138,7 +139,7 @@ def listing_job(
     site_pages = pages.filter(F.col("site") == profile.site)
     capped = crawl.first_pages(site_pages, listing.page_cap)
     items = with_forum(page_items(capped, profile, keywords, as_of), site_seeds)
-    if reuse:
+    if reuse or listing.stop_at_empty:
         items = stored(items, "items")
     if listing.stop_at_empty:
         items = crawl.pages_until_empty(items.withColumn("n_items", F.size("items")))

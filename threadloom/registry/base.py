@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from threadloom.functions.links import host
 from threadloom.profiles import ARTICLES
 from threadloom.session import configure
-from threadloom.sources.readers import read_pages
+from threadloom.sources.readers import read_pages, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,12 +36,17 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_pages(spark, f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows cost CPU time, over all cores even when it is one small file."""
+    return spread(table(spark, sf_dir, name))
 
 
 def page_table(spark: SparkSession, sf_dir: str, site: str = ARTICLES.site) -> DataFrame:
     """The raw pages as fetched pages: the host is the forum, the page id the page number."""
-    return table(spark, sf_dir, "pages").select(
+    return read_pages(spark, f"{sf_dir}/pages.parquet").select(
         F.lit(site).alias("site"),
         F.concat(F.lit("https://"), host(F.col("url")), F.lit("/")).alias("seed_url"),
         F.col("page_id").alias("page_no"),
@@ -92,9 +97,22 @@ MARKUP_SQL = (
 )
 
 
+def bare_decoded(x: str) -> str:
+    """As ``decoded``, for cleaned text, where a reference may also end without a semicolon."""
+    for name, char in (("quot", '"'), ("middot", "·"), ("copy", "©"), ("amp", "&")):
+        x = rf"regexp_replace({x}, '&{name}(?:;|\b)', '{char}', 'g')"
+    return x
+
+
 def inline(x: str) -> str:
-    bare = f"regexp_replace({x}, '{MARKUP_SQL}', ' ', 'g')"
-    return rf"trim(regexp_replace({decoded(bare)}, '\s+', ' ', 'g'))"
+    text = f"regexp_replace({x}, '{MARKUP_SQL}', ' ', 'g')"
+    return rf"trim(regexp_replace({bare_decoded(text)}, '\s+', ' ', 'g'))"
+
+
+def first_pages(n: int) -> str:
+    """The first pages of every host."""
+    rank = f"row_number() OVER (PARTITION BY {HOST_SQL} ORDER BY page_id)"
+    return f"(SELECT * FROM pages QUALIFY {rank} <= {n})"
 
 
 def absolute(href: str, base: str) -> str:

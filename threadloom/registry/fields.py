@@ -20,13 +20,13 @@ from threadloom.registry.base import (
     AS_OF,
     ORIGIN_SQL,
     absolute,
-    decoded,
+    bare_decoded,
     inline,
     origin,
     page_table,
     query,
     stripped,
-    table,
+    text_table,
     unnested,
 )
 
@@ -76,7 +76,7 @@ def p2_dates_abs(spark, sf_dir):
         .when(kind == 1, F.lit(""))
         .otherwise(F.concat(F.lit(" "), day, F.lit("\n")))
     )
-    return _forum_dates(table(spark, sf_dir, "events").select("event_id", raw.alias("raw")))
+    return _forum_dates(text_table(spark, sf_dir, "events").select("event_id", raw.alias("raw")))
 
 
 def _forum_dates(df):
@@ -106,7 +106,7 @@ def p2_dates_rel(spark, sf_dir):
         .when(kind == 2, F.concat(F.lit("  "), F.col("event_id").cast("string"), F.lit("分钟前")))
         .otherwise(F.col("event_type"))
     )
-    return _forum_dates(table(spark, sf_dir, "events").select("event_id", raw.alias("raw")))
+    return _forum_dates(text_table(spark, sf_dir, "events").select("event_id", raw.alias("raw")))
 
 
 @query("p3_clean_inline", f"SELECT page_id AS page_no, {inline('html')} AS text FROM pages")
@@ -115,7 +115,7 @@ def p3_clean_inline(spark, sf_dir):
 
 
 _BLOCK = "regexp_extract(html, '(?s)<article>(.*?)</article>', 1)"
-_LINES = decoded(f"regexp_replace({_BLOCK}, '<[/!?a-zA-Z][^>]*>', chr(10), 'g')")
+_LINES = bare_decoded(f"regexp_replace({_BLOCK}, '<[/!?a-zA-Z][^>]*>', chr(10), 'g')")
 
 
 @query(
@@ -136,7 +136,7 @@ def p4_clean_block(spark, sf_dir):
 )
 def p5_position(spark, sf_dir):
     turn = F.concat(F.lit(" #"), F.col("turn").cast("string"), F.lit("\n　楼 "))
-    return table(spark, sf_dir, "conversations").select(
+    return text_table(spark, sf_dir, "conversations").select(
         "conv_id",
         "turn",
         clean_position(turn).alias("position"),
@@ -173,7 +173,7 @@ def iso_forms(spark, sf_dir):
         .when(kind == 5, F.date_format("ts", "HH:mm"))
         .otherwise(F.col("event_type"))
     )
-    return table(spark, sf_dir, "events").select("event_id", raw.alias("raw"))
+    return text_table(spark, sf_dir, "events").select("event_id", raw.alias("raw"))
 
 
 @query(
@@ -206,7 +206,7 @@ def f6_date_valid(spark, sf_dir):
 @query("p7_strip", f"SELECT conv_id, turn, {stripped('text')} AS text FROM conversations")
 def p7_strip(spark, sf_dir):
     padded = F.concat(F.lit("　\n\t "), F.col("text"), F.lit("  \r\n"))
-    return table(spark, sf_dir, "conversations").select(
+    return text_table(spark, sf_dir, "conversations").select(
         "conv_id", "turn", strip(padded).alias("text")
     )
 

@@ -33,6 +33,7 @@ from threadloom.registry.base import (
     query,
     stripped,
     table,
+    text_table,
 )
 
 
@@ -156,7 +157,7 @@ def post_rows(spark, sf_dir):
     n = F.col("doc_id")
     events = table(spark, sf_dir, "events").select(F.col("event_id").alias("doc_id"), "ts")
     return (
-        table(spark, sf_dir, "documents")
+        text_table(spark, sf_dir, "documents")
         .join(events, "doc_id", "left")
         .select(
             "doc_id",

@@ -14,6 +14,7 @@ from threadloom.registry.base import (
     KEYWORDS,
     absolute,
     decoded,
+    first_pages,
     inline,
     page_table,
     query,
@@ -36,11 +37,14 @@ def _run(pages, profile):
     return listing_job(pages, seed_table(pages), profile, KEYWORDS, AS_OF, reuse=False)
 
 
-_ITEMS = f"""SELECT *, {decoded("raw_title")} AS title, {decoded("x")} AS href FROM ({unnested(
-    r'''regexp_extract_all(html, '<li><a href="([^"]*)">[^<]*</a></li>', 1)''',
-    HOST_SQL
-    + r''' AS host, regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', 1)[i] AS raw_title''',
-)})"""
+
+
+def _items(profile):
+    """Listed threads on the pages within the site's cap."""
+    hrefs = r'''regexp_extract_all(html, '<li><a href="([^"]*)">[^<]*</a></li>', 1)'''
+    titles = r'''regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', 1)'''
+    rows = unnested(hrefs, f"{HOST_SQL} AS host, {titles}[i] AS raw_title", first_pages(profile.listing.page_cap))
+    return f"""SELECT *, {decoded("raw_title")} AS title, {decoded("x")} AS href FROM ({rows})"""
 
 # --- autohome: relative dates, some missing, some unreadable ---
 
@@ -69,7 +73,7 @@ _AUTOHOME = f"""SELECT *, {absolute("href", "'" + AUTOHOME.base_url + "'")} AS l
     page_no % 5 > 0 AND page_no % 7 = 0 AS junk,
     regexp_matches(title, '{KEYWORD_SQL}', 'i') AND (page_no % 5 = 0 OR
         (page_no % 7 > 0 AND page_no * 8 % 2000 <= 1310)) AS keep
-    FROM ({_ITEMS}) WHERE title <> ''"""
+    FROM ({_items(AUTOHOME)}) WHERE title <> ''"""
 
 
 @query(
@@ -98,7 +102,8 @@ def x7_autohome_rejects(spark, sf_dir):
     "a1_autohome_stats",
     f"""SELECT h.host AS forum_name, any_value(pages) AS pages, count(page_no) AS crawled,
         count(*) FILTER (keep) AS yielded
-        FROM (SELECT {HOST_SQL} AS host, count(*) AS pages FROM pages GROUP BY ALL) h
+        FROM (SELECT {HOST_SQL} AS host, count(*) AS pages
+              FROM {first_pages(AUTOHOME.listing.page_cap)} GROUP BY ALL) h
         LEFT JOIN ({_AUTOHOME}) i ON i.host = h.host GROUP BY h.host""",
 )
 def a1_autohome_stats(spark, sf_dir):
@@ -121,7 +126,7 @@ def _tieba_pages(spark, sf_dir):
     "x7_tieba",
     f"""SELECT page_no, item_no, title AS thread_title, {absolute("href", "'" + TIEBA.base_url + "'")} AS thread_link,
         '10:30' AS thread_date, host AS forum_name
-        FROM ({_ITEMS}) WHERE regexp_matches(title, '{KEYWORD_SQL}', 'i') AND href <> ''""",
+        FROM ({_items(TIEBA)}) WHERE regexp_matches(title, '{KEYWORD_SQL}', 'i') AND href <> ''""",
 )
 def x7_tieba(spark, sf_dir):
     threads = _run(_tieba_pages(spark, sf_dir), TIEBA).threads
@@ -147,7 +152,7 @@ def _tesla_pages(spark, sf_dir):
 _TESLA = f"""SELECT *, {absolute("href", "'" + TESLA.base_url + "'")} AS link,
     '2023-' || lpad(CAST(page_no % 12 + 1 AS VARCHAR), 2, '0') || '-15 14:00:00 UTC' AS day,
     regexp_matches(href, '{KEYWORD_SQL}', 'i') AND title <> '' AND page_no % 12 + 1 >= 7 AS keep,
-    FROM ({_ITEMS}) i JOIN (SELECT {HOST_SQL} AS stop_host, min(page_id) FILTER (page_id % 6 = 5) AS stop
+    FROM ({_items(TESLA)}) i JOIN (SELECT {HOST_SQL} AS stop_host, min(page_id) FILTER (page_id % 6 = 5) AS stop
         FROM pages GROUP BY ALL) s ON s.stop_host = i.host
     WHERE page_no % 6 < 5 AND (stop IS NULL OR page_no < stop)"""
 
@@ -167,7 +172,7 @@ def x7_tesla(spark, sf_dir):
     f"""SELECT h.host AS forum_name, any_value(pages) AS pages, count(page_no) AS crawled,
         count(*) FILTER (keep) AS yielded
         FROM (SELECT {HOST_SQL} AS host, count(*) FILTER (stop IS NULL OR page_id <= stop) AS pages
-              FROM pages JOIN (SELECT {HOST_SQL} AS stop_host, min(page_id) FILTER (page_id % 6 = 5) AS stop
+              FROM {first_pages(TESLA.listing.page_cap)} JOIN (SELECT {HOST_SQL} AS stop_host, min(page_id) FILTER (page_id % 6 = 5) AS stop
                                FROM pages GROUP BY ALL) s ON s.stop_host = {HOST_SQL} GROUP BY ALL) h
         LEFT JOIN ({_TESLA}) i ON i.host = h.host GROUP BY h.host""",
 )
@@ -289,7 +294,7 @@ _TESLA_TEXT = f"{stripped(decoded('x'))} || chr(10) || ' line two'"
 
 @query(
     "x8_tesla",
-    f"""SELECT page_no, item_no, 'On ' || {decoded("regexp_extract(html, '<h1>([^<]*)', 1)")} AS thread_title,
+    f"""SELECT page_no, item_no, 'On ' || regexp_extract(html, '<h1>([^<]*)', 1) AS thread_title,
         '{TESLA.base_url}/threads/' || page_no AS thread_link, CAST(item_no * 10 AS VARCHAR) AS author_id,
         '2024-01-15 14:00:00 UTC' AS date, '#' || item_no AS position,
         trim({_TESLA_TEXT}, chr(10) || ' ') AS text
@@ -310,6 +315,4 @@ def x8_tesla(spark, sf_dir):
         )
 
     pages = _thread_pages(spark, sf_dir, TESLA, "/threads/", posts)
-    worklist = _worklist(pages, spark, sf_dir)
-    worklist = worklist.withColumn("thread_title", F.replace("thread_title", F.lit("&amp;"), F.lit("&")))
-    return content_job(pages, worklist, TESLA).posts.drop("site", "date_ts")
+    return content_job(pages, _worklist(pages, spark, sf_dir), TESLA).posts.drop("site", "date_ts")
