@@ -20,6 +20,7 @@ from threadloom.session import configure
 
 def _posts(records: Column, part: PostPart) -> Column:
     """The posts of one part of a profile, as an array of structs."""
+
     def fields(r: Column, i: Column) -> Column:
         tail = every(r, part.tail) if part.tail else F.lit(None).cast("array<string>")
         return F.struct(
@@ -102,9 +103,9 @@ class ContentResult:
 def prepare_worklist(worklist: DataFrame, profile: SiteProfile) -> DataFrame:
     """Usable rows of the site's own hosts, one per canonical link.
 
-    ``ord`` orders repeated links; without it the title and date decide.
+    ``ord``, where there is one, orders repeated links; the fields settle what it leaves open.
     """
-    order = ["ord"] if "ord" in worklist.columns else ["thread_title", "thread_date", "thread_link"]
+    order = [c for c in ("ord", "thread_title", "thread_date", "thread_link") if c in worklist.columns]
     usable = usable_worklist(worklist).filter(allowed_host(F.col("thread_link"), profile.domains))
     return first_per_link(usable, "thread_link", order)
 

@@ -12,7 +12,6 @@ from threadloom.functions.markup import (
     Tag,
     attr_in,
     direct_texts,
-    every,
     inner_html,
     nested_regions,
     outer_html,
