@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import bpe, wordpiece
+from threadloom.llm import bpe, secret_scan, wordpiece
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,3 +56,17 @@ def rank_pieces() -> tuple[list[bytes], list[bytes]]:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return wordpiece.token_counts(docs, rank_pieces).select("doc_id", "n_words", "n_tokens")
+
+
+@query("op10_secrets", secret_scan.oracle())
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs)
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secret_scan.BASE]))
+    return found.select(
+        "doc_id",
+        *(of(r.kind).alias(f"n_{r.kind}") for r in secret_scan.BASE),
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"),
+    )
