@@ -21,8 +21,10 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField
 from threadloom.llm.arrow import add_columns, lists
 
 #: Encoded pieces that a task remembers, and the longest it remembers; neither changes a result.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 150_000
 CACHE_CHARS = 64
+#: Bytes of text encoded, and ids decoded, at once.
+BLOCK, BLOCK_IDS = 3 << 20, 1 << 18
 SHIFT = 20
 #: Posting lists of at least this length are merged as arrays, shorter ones one by one.
 LONG_LIST = 24
@@ -202,10 +204,11 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", i
         def block(values: pa.Array) -> list[pa.Array]:
             nonlocal known
             found = [find(t) if t else [] for t in values.to_pylist()]
-            pieces = set().union(*found)
-            if len(known) + len(pieces) > CACHE_PIECES:
+            new = set().union(*found).difference(known)
+            if len(known) + len(new) > CACHE_PIECES:
                 known = {}
-            new = list(pieces.difference(known))
+                new = set().union(*found)
+            new = list(new)
             fresh = dict(zip(new, (x.tobytes() for x in replay.encode(p.encode() for p in new))))
             known.update(fresh)
             parts = [b"".join(map(known.__getitem__, words)) for words in found]
@@ -217,7 +220,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", i
 
         return block
 
-    return add_columns(docs, text, [StructField(ids, ArrayType(IntegerType(), True))], make, 8 << 20)
+    return add_columns(docs, text, [StructField(ids, ArrayType(IntegerType(), True))], make, BLOCK)
 
 
 def decode(docs: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -234,4 +237,4 @@ def decode(docs: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decod
 
         return block
 
-    return add_columns(docs, ids, [StructField(out, BinaryType())], make)
+    return add_columns(docs, ids, [StructField(out, BinaryType())], make, BLOCK_IDS)
