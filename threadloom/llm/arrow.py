@@ -43,13 +43,14 @@ def add_columns(
     fields: list[StructField],
     make: Callable[[], Callable[[pa.Array], list[pa.Array]]],
     most: int = BLOCK_BYTES,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """``df`` with new columns computed from ``source``; columns of the same names are replaced.
 
     ``make`` is called once in each task and returns the function from a block of values to
-    one Arrow array for each field.
+    one Arrow array for each field. ``keep`` names the columns that stay, by default all.
     """
-    keep = without(df, [f.name for f in fields])
+    keep = without(df, [f.name for f in fields]) if keep is None else keep
     schema = StructType([df.schema[c] for c in keep] + fields)
     count = len(keep)
 

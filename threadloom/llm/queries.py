@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import bpe, secret_scan, wordpiece
+from threadloom.llm import bpe, secret_scan, simhash, wordpiece
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+SHINGLE_WORDS, SIMHASH_BITS = 4, 4
 
 
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
@@ -70,3 +71,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
         secret_scan.listed(F.col("spans")).alias("spans"),
     )
+
+
+@query("op6_simhash")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), SHINGLE_WORDS, SIMHASH_BITS)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
