@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import bpe, secret_scan, simhash, wordpiece
+from threadloom.llm import bpe, language, quality, secret_scan, simhash, wordpiece
+from threadloom.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -16,6 +17,7 @@ ORACLES: dict[str, str] = {}
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 SHINGLE_WORDS, SIMHASH_BITS = 4, 4
+KEEP_SCORE = 0.3
 
 
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
@@ -77,3 +79,35 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), SHINGLE_WORDS, SIMHASH_BITS)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Model:
+    """Fitted on the labelled documents outside the held-out fifth; a second fifth calibrates."""
+    known = labels.filter("quality IS NOT NULL").groupBy("doc_id").agg(F.avg("quality").alias("y"))
+    # Texts become statistics before the join, so that no text is shuffled.
+    train = docs.select("doc_id", "text").filter(remainder("doc_id", 5) != 0)
+    found = quality.with_statistics(train, "text", ["doc_id"]).join(known, "doc_id")
+    return quality.fit_statistics(
+        stored(found.select("statistics", "y", (remainder("doc_id", 5) == 1).alias("later")), "statistics")
+    )
+
+
+@query("op4_quality")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_model(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id",
+        (remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"),
+    )
+
+
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.filter(remainder("doc_id", 3) != 1))
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score"
+    )
