@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import bpe, language, quality, secret_scan, simhash, wordpiece
+from threadloom.llm import bpe, decontaminate, language, quality, secret_scan, simhash, wordpiece
 from threadloom.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,3 +111,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs.select("doc_id", "text"), model).select(
         "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score"
     )
+
+
+@query("op2_decontaminate")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    benchmark = table(spark, sf_dir, "benchmark")
+    found = decontaminate.mark(docs, benchmark, decontaminate.fit(docs, benchmark))
+    return found.select("doc_id", F.inline("matches")).withColumnRenamed("item", "item_id")
