@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import bpe, decontaminate, language, quality, secret_scan, simhash, wordpiece
+from threadloom.llm import bpe, decontaminate, language, quality, secret_scan, simhash, warc, wordpiece
 from threadloom.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,3 +119,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = table(spark, sf_dir, "benchmark")
     found = decontaminate.mark(docs, benchmark, decontaminate.fit(docs, benchmark))
     return found.select("doc_id", F.inline("matches")).withColumnRenamed("item", "item_id")
+
+
+@query("op3_warc_zip", warc.ORACLE)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(spark, table(spark, sf_dir, "pages"), payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
