@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import bpe, decontaminate, language, quality, secret_scan, simhash, warc, wordpiece
+from threadloom.llm import ann, bpe, decontaminate, language, quality, secret_scan, simhash, warc, wordpiece
 from threadloom.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,3 +125,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.round_trip(spark, table(spark, sf_dir, "pages"), payloads=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op7_ann")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
