@@ -21,10 +21,10 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField
 from threadloom.llm.arrow import add_columns, lists
 
 #: Encoded pieces that a task remembers, and the longest it remembers; neither changes a result.
-CACHE_PIECES = 150_000
+CACHE_PIECES = 80_000
 CACHE_CHARS = 64
 #: Bytes of text encoded, and ids decoded, at once.
-BLOCK, BLOCK_IDS = 3 << 20, 1 << 18
+BLOCK, BLOCK_IDS = 4 << 20, 1 << 18
 SHIFT = 20
 #: Posting lists of at least this length are merged as arrays, shorter ones one by one.
 LONG_LIST = 24
@@ -40,6 +40,7 @@ class Replay:
     """Encodes sets of pieces by replaying the merges of a rank table."""
 
     def __init__(self, ranks: dict[bytes, int]):
+        self.tokens = ranks
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.merged = {}
         for token, rank in ranks.items():
@@ -59,8 +60,12 @@ class Replay:
         return np.where(self.keys[at] == pair, self.ranks[at], -1).astype(np.int32)
 
     def encode(self, pieces: Iterable[bytes]) -> list[np.ndarray]:
-        """Token ids of each piece."""
+        """Token ids of each piece; a piece that is a token itself is that token."""
         pieces = list(pieces)
+        whole = {i: rank for i, p in enumerate(pieces) if (rank := self.tokens.get(p)) is not None}
+        if whole:
+            rest = iter(self.encode(p for i, p in enumerate(pieces) if i not in whole))
+            return [np.array([whole[i]], np.int32) if i in whole else next(rest) for i in range(len(pieces))]
         ends = np.cumsum([len(p) for p in pieces], dtype=np.int64)
         text = np.frombuffer(b"".join(pieces), np.uint8)
         if not len(text):
@@ -200,17 +205,19 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", i
         find = regex.compile(pattern).findall
         replay = Replay(read_ranks(ranks_path))
         known: dict[str, bytes] = {}
+        older: dict[str, bytes] = {}
 
         def block(values: pa.Array) -> list[pa.Array]:
-            nonlocal known
+            nonlocal known, older
             found = [find(t) if t else [] for t in values.to_pylist()]
-            new = set().union(*found).difference(known)
-            if len(known) + len(new) > CACHE_PIECES:
-                known = {}
-                new = set().union(*found)
-            new = list(new)
-            fresh = dict(zip(new, (x.tobytes() for x in replay.encode(p.encode() for p in new))))
-            known.update(fresh)
+            pieces = set().union(*found)
+            if len(known) > CACHE_PIECES:
+                known, older = {}, known
+            new = pieces.difference(known)
+            again = new.intersection(older)
+            known.update((p, older[p]) for p in again)
+            new = list(new - again)
+            known.update(zip(new, (x.tobytes() for x in replay.encode([p.encode() for p in new]))))
             parts = [b"".join(map(known.__getitem__, words)) for words in found]
             for piece in new:
                 if len(piece) > CACHE_CHARS:
