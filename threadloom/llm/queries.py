@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import ann, bpe, decontaminate, language, quality, secret_scan, simhash, warc, wordpiece
+from threadloom.llm import ann, bpe, decontaminate, language, quality, secret_scan, simhash, suffix_dedup, warc, wordpiece
 from threadloom.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,3 +130,16 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_ann")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
+@query("op8_suffix_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    length = lambda s: (s["end"] - s["start"]).cast("long")
+    return found.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + length(s)).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
