@@ -24,9 +24,10 @@ from threadloom.llm.sums import summed
 
 #: Hashed words, latent dimensions, and words in half a passage; passages overlap by half.
 BUCKETS, RANK, HALF = 8192, 96, 32
+#: Least cosine of a passage and a piece of an item of so many words; less for shorter items.
 COSINE = 0.55
 #: Shares of an item's words, and of its answer's words, that must follow in order.
-ITEM_SHARE, ANSWER_SHARE = 0.6, 0.5
+ITEM_SHARE, ANSWER_SHARE = 0.7, 0.5
 #: Items searched in one pass; more items take more passes.
 BLOCK_ITEMS = 20_000
 SEED = 11
@@ -240,6 +241,7 @@ class Items:
     owner: np.ndarray
     offset: np.ndarray
     vectors: np.ndarray
+    least: np.ndarray
 
     @classmethod
     def of(cls, rows: list[tuple], latent: Latent) -> Items:
@@ -247,9 +249,20 @@ class Items:
         words = [words_of(t) for _, t, _ in texts]
         answers = [words_of(a) if a.strip() else last_sentence(t) for _, t, a in texts]
         hasher = Hasher()
-        halves = Halves.cut([hasher(w) for w in words])
-        vectors = scaled(halves.sums(latent.table))[0] if len(halves.starts) else np.zeros((0, latent.table.shape[1]))
-        return cls([i for i, _, _ in texts], words, answers, halves.owner, halves.first_word, vectors.astype(np.float32))
+        # Pieces of HALF words, the last one moved back to be as long; a short item is one piece.
+        pieces = [
+            (i, at, hasher(w[at : at + HALF]))
+            for i, w in enumerate(words)
+            for at in sorted({*range(0, len(w) - HALF + 1, HALF), max(0, len(w) - HALF)})
+            if w
+        ]
+        owner, offset = (np.array([p[k] for p in pieces], int) for k in (0, 1))
+        sizes = np.array([len(p[2]) for p in pieces])
+        halves = Halves.cut([p[2] for p in pieces])
+        vectors = scaled(halves.sums(latent.table))[0].astype(np.float32)
+        # A short item is a smaller part of the passage around it.
+        least = (COSINE * np.sqrt(sizes / HALF)).astype(np.float32)
+        return cls([i for i, _, _ in texts], words, answers, owner, offset, vectors, least)
 
 
 def matched(item: list[bytes], answer: list[bytes], text: list[bytes]) -> tuple[float, float]:
@@ -264,7 +277,7 @@ def near_passages(halves: Halves, items: Items, latent: Latent) -> dict[tuple[in
     for rows, runs in ((sums, np.arange(len(sums))), (sums[pairs] + sums[pairs + 1], pairs)):
         for a in range(0, len(rows), SLICE):
             cosines = scaled(rows[a : a + SLICE])[0] @ items.vectors.T
-            for i, j in zip(*(x.tolist() for x in np.nonzero(cosines >= COSINE))):
+            for i, j in zip(*(x.tolist() for x in np.nonzero(cosines >= items.least))):
                 run = runs[a + i]
                 at = int(halves.first_word[run]) - int(items.offset[j])
                 hits = found.setdefault((int(halves.owner[run]), int(items.owner[j])), {})
@@ -312,7 +325,7 @@ def mark(
                 words = [words_of(t) for t in raw(values)]
                 halves = Halves.cut([hasher(w) for w in words])
                 made: list[list[dict]] = [[] for _ in words]
-                if len(halves.starts) and len(items.vectors):
+                if len(halves.starts) and len(items.least):
                     for (i, j), hits in sorted(near_passages(halves, items, latent).items()):
                         best = (0.0, 0.0, 0.0)
                         for at, cosine in hits.items():
