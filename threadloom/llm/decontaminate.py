@@ -33,7 +33,7 @@ BLOCK_ITEMS = 20_000
 SEED = 11
 CACHE_WORDS = 500_000
 BLOCK = 2 << 20
-SLICE = 2048
+SLICE = 256
 #: ASCII letters in lower case; digits and bytes beyond ASCII stay; all else parts words.
 FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 or b >= 128 else 32 for b in range(256)
@@ -44,52 +44,50 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(FOLD).split()
 
 
-class Hasher:
+class Hasher(dict):
     """Bucket of each word, remembered while the task runs."""
 
-    def __init__(self) -> None:
-        self.known: dict[bytes, int] = {}
+    def __missing__(self, word: bytes) -> int:
+        made = self[word] = zlib.crc32(word) % BUCKETS
+        return made
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(self.known) > CACHE_WORDS:
-            self.known = {}
-        known = self.known
-        for w in set(words).difference(known):
-            known[w] = zlib.crc32(w) % BUCKETS
-        return np.fromiter(map(known.__getitem__, words), np.int32, len(words))
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.uint16, len(words))
 
 
 @dataclass
 class Halves:
-    """Words of a block of texts in runs of ``HALF`` words; a run never crosses texts."""
+    """Words of a block of texts in rows of ``HALF`` words; a row never crosses texts. Bucket
+    ``BUCKETS`` fills up the last row of a text."""
 
     tokens: np.ndarray
-    starts: np.ndarray
     owner: np.ndarray
     first_word: np.ndarray
 
     @classmethod
-    def cut(cls, texts: list[np.ndarray], size: int = HALF) -> Halves:
+    def cut(cls, texts: list[np.ndarray]) -> Halves:
         sizes = np.array([len(t) for t in texts], np.int64)
-        runs = -(-sizes // size)
+        runs = -(-sizes // HALF)
         owner = np.repeat(np.arange(len(texts)), runs)
-        place = np.arange(len(owner)) - np.repeat(np.cumsum(runs) - runs, runs)
-        base = np.cumsum(sizes) - sizes
-        tokens = np.concatenate(texts) if len(texts) else np.zeros(0, np.int32)
-        return cls(tokens, base[owner] + place * size, owner, place * size)
+        first_run = np.cumsum(runs) - runs
+        tokens = np.full(int(runs.sum()) * HALF, BUCKETS, np.uint16)
+        if len(texts):
+            place = np.arange(sizes.sum()) + np.repeat(first_run * HALF - (np.cumsum(sizes) - sizes), sizes)
+            tokens[place] = np.concatenate(texts)
+        return cls(tokens.reshape(-1, HALF), owner, (np.arange(len(owner)) - first_run[owner]) * HALF)
 
     def sums(self, table: np.ndarray) -> np.ndarray:
-        """For each run the sum of its words' rows in ``table``."""
-        ends = np.append(self.starts[1:], len(self.tokens))
-        made = np.zeros((len(self.starts), table.shape[1]), np.float32)
-        for a in range(0, len(self.starts), SLICE):
-            b = min(a + SLICE, len(self.starts))
-            rows = table[self.tokens[self.starts[a] : ends[b - 1]]]
-            made[a:b] = np.add.reduceat(rows, self.starts[a:b] - self.starts[a], axis=0)
+        """For each row the sum of its words' rows in ``table``, in slices that fit a cache."""
+        table = np.vstack([table, np.zeros((1, table.shape[1]))]).astype(np.float32)
+        made = np.empty((len(self.tokens), table.shape[1]), np.float32)
+        for a in range(0, len(made), SLICE):
+            table[self.tokens[a : a + SLICE]].sum(1, out=made[a : a + SLICE])
         return made
 
     def pairs(self) -> np.ndarray:
-        """Runs that the next run of the same text follows: with it they are a passage."""
+        """Rows that the next row of the same text follows: with it they are a passage."""
         return np.flatnonzero(self.owner[1:] == self.owner[:-1])
 
 
@@ -101,7 +99,7 @@ def scaled(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def product(halves: Halves, table: np.ndarray, idf: np.ndarray, total: np.ndarray) -> float:
     """Add the passages' share of A'(A G) to ``total``, where ``table`` is G scaled by idf; number of passages."""
-    if not len(halves.starts):
+    if not len(halves.tokens):
         return 0.0
     sums = halves.sums(table)
     pairs = halves.pairs()
@@ -114,16 +112,10 @@ def product(halves: Halves, table: np.ndarray, idf: np.ndarray, total: np.ndarra
     back[pairs + 1] += rows
     rows, size = scaled(sums[alone])
     back[alone] = rows / size
-    ends = np.append(halves.starts[1:], len(halves.tokens))
-    for a in range(0, len(sums), SLICE):
-        b = min(a + SLICE, len(sums))
-        tokens = halves.tokens[halves.starts[a] : ends[b - 1]]
-        run = np.repeat(np.arange(a, b), (ends - halves.starts)[a:b])
-        order = np.argsort(tokens, kind="stable")
-        tokens = tokens[order]
-        firsts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
-        buckets = tokens[firsts]
-        total[buckets] += np.add.reduceat(back[run[order]], firsts, axis=0) * idf[buckets, None]
+    buckets = halves.tokens.ravel().astype(np.int64)
+    weights = np.append(idf, 0.0)
+    for column, part in zip(total.T, np.ascontiguousarray(back.T, float)):
+        column[: BUCKETS + 1] += np.bincount(buckets, np.repeat(part, HALF), BUCKETS + 1) * weights
     return float(len(pairs) + alone.sum())
 
 
@@ -147,11 +139,11 @@ def holders(texts: DataFrame) -> tuple[np.ndarray, float]:
     def partial(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         total = np.zeros(BUCKETS + 1)
         for halves in _texts(batches):
-            sizes = np.diff(np.append(halves.starts, len(halves.tokens)))
-            run = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes)
-            held = np.unique(run * BUCKETS + halves.tokens)
-            total[:-1] += np.bincount(held % BUCKETS, minlength=BUCKETS)
-            total[-1] += len(sizes)
+            rows = np.sort(halves.tokens, 1)
+            new = np.ones(rows.shape, bool)
+            new[:, 1:] = rows[:, 1:] != rows[:, :-1]
+            total[:-1] += np.bincount(rows[new], minlength=BUCKETS + 1)[:-1]
+            total[-1] += len(rows)
         return total
 
     found = summed(texts, BUCKETS + 1, partial)
@@ -163,15 +155,16 @@ def normal_product(texts: DataFrame, directions: np.ndarray, idf: np.ndarray) ->
     table = (directions * idf[:, None]).astype(np.float32)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((BUCKETS + 1, RANK), np.float32)
+        total = np.zeros((BUCKETS + 1, RANK))
         passages = 0.0
         for halves in _texts(batches):
             passages += product(halves, table, idf, total)
+        total[-1] = 0
         total[-1, 0] = passages
         rows = np.flatnonzero(total.any(1))
-        for a in range(0, len(rows), SLICE):
-            part = rows[a : a + SLICE]
-            columns = [pa.array(part), *(pa.array(np.ascontiguousarray(c)) for c in total[part].T)]
+        for a in range(0, len(rows), 2048):
+            part = rows[a : a + 2048]
+            columns = [pa.array(part), *(pa.array(np.ascontiguousarray(c, np.float32)) for c in total[part].T)]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     names = ["bucket", *(f"v{i}" for i in range(RANK))]
@@ -277,7 +270,8 @@ def near_passages(halves: Halves, items: Items, latent: Latent) -> dict[tuple[in
     for rows, runs in ((sums, np.arange(len(sums))), (sums[pairs] + sums[pairs + 1], pairs)):
         for a in range(0, len(rows), SLICE):
             cosines = scaled(rows[a : a + SLICE])[0] @ items.vectors.T
-            for i, j in zip(*(x.tolist() for x in np.nonzero(cosines >= items.least))):
+            near = np.flatnonzero(cosines >= items.least)
+            for i, j in zip((near // len(items.least)).tolist(), (near % len(items.least)).tolist()):
                 run = runs[a + i]
                 at = int(halves.first_word[run]) - int(items.offset[j])
                 hits = found.setdefault((int(halves.owner[run]), int(items.owner[j])), {})
@@ -325,7 +319,7 @@ def mark(
                 words = [words_of(t) for t in raw(values)]
                 halves = Halves.cut([hasher(w) for w in words])
                 made: list[list[dict]] = [[] for _ in words]
-                if len(halves.starts) and len(items.least):
+                if len(halves.tokens) and len(items.least):
                     for (i, j), hits in sorted(near_passages(halves, items, latent).items()):
                         best = (0.0, 0.0, 0.0)
                         for at, cosine in hits.items():
