@@ -1,5 +1,6 @@
 """A listing run whose output folder feeds a content run, and next-page links."""
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -63,8 +64,10 @@ def test_repeated_seeds_count_once(spark):
     assert [r.forum_name for r in got.threads.collect()] == ["first"]
 
 
-def test_pages_beyond_the_cap_are_left_out(spark):
+def test_every_page_counts_unless_a_cap_is_set(spark):
     profile = profiles.TIEBA
-    htmls = ["<p>x</p>"] * 103
-    got = listing_job(pages_of(spark, profile, *htmls), seeds_of(spark, profile), profile, ["x"], AS_OF)
-    assert got.stats.collect() == [("tieba", "f1", 100, 0, 0)]
+    htmls = ["<p>x</p>"] * 300
+    pages, seeds = pages_of(spark, profile, *htmls), seeds_of(spark, profile)
+    assert listing_job(pages, seeds, profile, ["x"], AS_OF).stats.collect() == [("tieba", "f1", 300, 0, 0)]
+    capped = replace(profile, listing=replace(profile.listing, page_cap=100))
+    assert listing_job(pages, seeds, capped, ["x"], AS_OF).stats.collect() == [("tieba", "f1", 100, 0, 0)]

@@ -14,3 +14,37 @@ def let(c: Column, body: Callable[[Column], Column]) -> Column:
     Catalyst inlines a column wherever it is mentioned; a one-element array makes it a variable.
     """
     return F.try_element_at(F.transform(F.array(c), body), F.lit(1))
+
+
+RUN = 256
+
+
+def _sums_before(numbers: Column) -> Column:
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all"))
+    return F.aggregate(
+        numbers,
+        start,
+        lambda a, x: F.struct((a["at"] + x).alias("at"), F.array_append(a["all"], a["at"]).alias("all")),
+        lambda a: a["all"],
+    )
+
+
+def sums_before(numbers: Column) -> Column:
+    """For each element of an int array the sum of those before it.
+
+    A fold that appends copies its array each time, so long arrays are summed in runs: first the
+    sums of the runs, then inside each run.
+    """
+
+    def by_runs(xs: Column) -> Column:
+        runs = F.transform(
+            F.sequence(F.lit(0), F.floor((F.greatest(F.size(xs), F.lit(1)) - 1) / RUN).cast("int")),
+            lambda i: F.slice(xs, i * RUN + 1, F.lit(RUN)),
+        )
+        whole = F.transform(runs, lambda r: F.aggregate(r, F.lit(0), lambda a, x: a + x))
+        placed = F.zip_with(
+            runs, _sums_before(whole), lambda r, base: F.transform(_sums_before(r), lambda x: base + x)
+        )
+        return F.flatten(placed)
+
+    return let(numbers, by_runs)

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from threadloom.functions.binding import let
+from threadloom.functions.binding import let, sums_before
 from threadloom.functions.entities import decode_entities
 
 # Elements that have no end tag.
@@ -37,12 +37,17 @@ class Tag:
         return rf"<(?i:{self.name})(?=[\s>/]){tokens}{ident}[^>]*>"
 
 
+# Elements in front of the first text of an element: empty ones, and such without elements inside.
+_LEADING = rf"(?:<(?i:{VOID})(?=[\s>/])[^>]*>|<(?!/|(?i:{VOID})[\s>/])[a-zA-Z][^>]*>[^<]*</[a-zA-Z][^>]*>)*"
+
+
 def text_in(*path: Tag, strict: bool = False) -> str:
-    """Pattern of the first text right behind the last tag of ``path``.
+    """Pattern of the first text node that is a child of the last tag of ``path``.
 
-    With ``strict`` each step must come before the end tag of the step above it.
+    Icons and labels in front of the text are passed over. With ``strict`` each step must come
+    before the end tag of the step above it.
     """
-    return _steps(path, strict) + "([^<]+)"
+    return _steps(path, strict) + _LEADING + "([^<]+)"
 
 
 def attr_in(attr: str, *path: Tag, strict: bool = False) -> str:
@@ -76,30 +81,68 @@ def every(c: Column, pattern: str) -> Column:
     return F.transform(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), lambda x: decode_entities(x))
 
 
-# Stands in front of each tag of interest while a text is cut. It is no character of any text,
-# and a one-character separator spares ``split`` a look-ahead at every position.
+# Stands in front of each tag of interest while a text is cut, and is taken out of the text
+# before. It is no character of any text, and a one-character separator spares ``split`` a
+# look-ahead at every position.
 _CUT = "\uffff"
 
 
 def _cut(text: Column, pattern: str) -> Column:
     """The text in pieces that begin where ``pattern`` matches; what comes before the first match is dropped."""
-    return F.slice(F.split(F.regexp_replace(text, pattern, _CUT + "$0"), _CUT, -1), 2, 1 << 30)
+    clean = F.translate(text, _CUT, "")
+    return F.slice(F.split(F.regexp_replace(clean, pattern, _CUT + "$0"), _CUT, -1), 2, 1 << 30)
+
+
+# Elements whose end tag may be left out, and the elements that end them.
+_LISTS = {"li": "ul|ol"}
+
+
+def _found(tokens: Column, tag: Tag) -> Column:
+    """(first, last, closed) of the outermost elements that ``tag`` opens, as places in ``tokens``.
+
+    One pass with a depth: that of elements of the same name inside an open one, or of lists
+    inside an open list item, which also ends where the next item or the end of its list comes.
+    """
+    lists = _LISTS.get(tag.name)
 
+    def spot(first: Column, last: Column, closed: bool) -> Column:
+        return F.array(F.struct(first.alias("first"), last.alias("last"), F.lit(closed).alias("closed")))
 
-def _until_closed(chunk: Column, name: str) -> Column:
-    """Cut a text that starts with a ``name`` tag behind the end tag that closes it."""
-    tokens = _cut(chunk, rf"</?(?i:{name})(?=[\s>/])")
+    def state(at: Column, first: Column, depth: Column, out: Column) -> Column:
+        return F.struct(at.alias("at"), first.alias("first"), depth.alias("depth"), out.alias("out"))
 
     def step(acc: Column, tok: Column) -> Column:
-        depth, length = acc[0], acc[1]
-        ends = tok.startswith("</")
-        closing = F.array(F.lit(-1), length + F.length(F.substring_index(tok, ">", 1)) + 1)
-        inside = F.array(depth + F.when(ends, -1).otherwise(1), length + F.length(tok))
-        return F.when(depth < 0, acc).when(ends & (depth == 1), closing).otherwise(inside)
+        at, first, depth, out = acc["at"] + 1, acc["first"], acc["depth"], acc["out"]
+        ends, none = tok.startswith("</"), F.lit(0)
+        opened = F.when(tok.rlike("^" + tag.pattern), at).otherwise(none)
+        idle = state(at, opened, F.when(opened > 0, 1).otherwise(0), out)
+        done = F.concat(out, spot(first, at, True))
+        same = state(at, first, depth + F.when(ends, -1).otherwise(1), out)
+        if not lists:
+            inside = F.when(ends & (depth == 1), state(at, none, none, done)).otherwise(same)
+            return F.when(first == 0, idle).otherwise(inside)
+        item = tok.rlike(rf"^</?(?i:{tag.name})(?=[\s>/])")
+        cut = F.concat(out, spot(first, at - 1, False))
+        inside = (
+            F.when(item & (depth > 1), state(at, first, depth, out))
+            .when(item & ends, state(at, none, none, done))
+            .when(item, state(at, opened, F.when(opened > 0, 1).otherwise(0), cut))
+            .when(ends & (depth == 1), state(at, none, none, cut))
+            .otherwise(same)
+        )
+        return F.when(first == 0, idle).otherwise(inside)
 
-    # The pair is (depth, length). Depth -1 means closed; an unclosed element runs to the end.
-    start = F.array(F.lit(0), F.lit(0))
-    return F.aggregate(tokens, start, step, lambda acc: F.left(chunk, acc[1]))
+    places = F.array().cast("array<struct<first:int,last:int,closed:boolean>>")
+    begin = state(F.lit(0), F.lit(0), F.lit(0), places)
+    # An element that is never closed runs to the end.
+    return F.aggregate(
+        tokens,
+        begin,
+        step,
+        lambda acc: F.when(
+            acc["first"] > 0, F.concat(acc["out"], spot(acc["first"], acc["at"], False))
+        ).otherwise(acc["out"]),
+    )
 
 
 def without_hidden(html: Column) -> Column:
@@ -108,8 +151,19 @@ def without_hidden(html: Column) -> Column:
 
 
 def regions(c: Column, tag: Tag) -> Column:
-    """Outer HTML of every element ``tag`` opens, in document order (array of strings)."""
-    return F.transform(_cut(c, tag.pattern), lambda x: _until_closed(x, tag.name))
+    """Outer HTML of every outermost element ``tag`` opens, in document order (array of strings)."""
+    names = "|".join(n for n in (tag.name, _LISTS.get(tag.name)) if n)
+
+    def pieces(tokens: Column) -> Column:
+        def piece(r: Column) -> Column:
+            last = F.element_at(tokens, r["last"])
+            end = F.when(r["closed"], F.concat(F.substring_index(last, ">", 1), F.lit(">"))).otherwise(last)
+            front = F.array_join(F.slice(tokens, r["first"], r["last"] - r["first"]), "")
+            return F.concat(front, end)
+
+        return F.transform(_found(tokens, tag), piece)
+
+    return let(_cut(c, rf"</?(?i:{names})(?=[\s>/])"), pieces)
 
 
 def nested_regions(c: Column, path: tuple[Tag, ...]) -> Column:
@@ -146,13 +200,18 @@ def direct_texts(region: Column) -> Column:
     # Elements without content end a text but leave the depth as it is.
     empty = rf"(?i)^<(?:(?:{VOID})[\s>/]|[^>]*/>)"
 
-    def step(acc: Column, tok: Column) -> Column:
-        change = F.when(tok.startswith("</"), -1).when(tok.rlike(empty), 0).otherwise(1)
-        depth = acc["depth"] + change
-        text = F.substring(tok, F.instr(tok, ">") + 1, F.length(tok))
-        texts = F.when((depth == 1) & (text != ""), F.concat(acc["texts"], F.array(text)))
-        return F.struct(depth.alias("depth"), F.coalesce(texts, acc["texts"]).alias("texts"))
-
-    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("texts"))
-    texts = F.aggregate(_cut(region, "</?[a-zA-Z]"), start, step, lambda acc: acc["texts"])
-    return F.transform(texts, lambda x: decode_entities(x))
+    def change(tok: Column) -> Column:
+        return F.when(tok.startswith("</"), -1).when(tok.rlike(empty), 0).otherwise(1)
+
+    def texts(tokens: Column) -> Column:
+        def at_top(changes: Column) -> Column:
+            return F.zip_with(
+                F.zip_with(sums_before(changes), changes, lambda a, b: a + b),
+                tokens,
+                lambda depth, tok: F.when(depth == 1, F.substring(tok, F.instr(tok, ">") + 1, F.length(tok))),
+            )
+
+        return let(F.transform(tokens, change), at_top)
+
+    found = F.filter(let(_cut(region, "</?[a-zA-Z]"), texts), lambda x: x != "")
+    return F.transform(found, lambda x: decode_entities(x))

@@ -1,10 +1,15 @@
-"""Lookup joins that carry parent fields to pages. Broadcasts depend on known file sizes."""
+"""Lookup joins that carry parent fields to pages. Broadcasts depend on known file sizes.
+
+Pages meet their forum or thread by the canonical link, the same key by which repeated rows of the
+lookup tables are recognised; the lookup table must hold each key once.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from threadloom.functions.links import canonical_url
 from threadloom.session import stored
 
 NO_DESCRIPTION = "No description provided"
@@ -27,12 +32,12 @@ def with_forum(pages: DataFrame, seeds: DataFrame) -> DataFrame:
     """
     forums = seeds.select(
         "site",
-        F.col("url").alias("seed_url"),
+        canonical_url(F.col("url")).alias("_key"),
         F.col("name").alias("forum_name"),
         F.col("url").alias("forum_url"),
         F.coalesce("description", F.lit(NO_DESCRIPTION)).alias("forum_description"),
     )
-    return pages.join(forums, ["site", "seed_url"], "inner")
+    return pages.withColumn("_key", canonical_url(F.col("seed_url"))).join(forums, ["site", "_key"], "inner").drop("_key")
 
 
 def with_thread(pages: DataFrame, worklist: DataFrame) -> DataFrame:
@@ -43,6 +48,6 @@ def with_thread(pages: DataFrame, worklist: DataFrame) -> DataFrame:
     (a left join may split its left side).
     """
     threads = worklist.select(
-        F.col("thread_link").alias("seed_url"), "thread_title", "thread_link", "thread_date"
+        canonical_url(F.col("thread_link")).alias("_key"), "thread_title", "thread_link", "thread_date"
     )
-    return pages.join(threads, "seed_url", "left")
+    return pages.withColumn("_key", canonical_url(F.col("seed_url"))).join(threads, "_key", "left").drop("_key")

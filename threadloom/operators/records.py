@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from threadloom.functions.binding import let
 from threadloom.functions.links import absolute_link
 from threadloom.functions.markup import Tag, first, nested_regions, without_hidden
 
@@ -17,13 +18,15 @@ _TAIL_DATE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}"
 class Records:
     """What repeats in a page: elements at the end of a tag path, or a one-group pattern.
 
-    The pattern form is for elements that are always closed and never nest.
+    The pattern form is for elements that are always closed and never nest. ``merged`` makes one
+    record of all that is found.
     """
 
     path: tuple[Tag, ...] = ()
     pattern: str | None = None
     only_first: bool = False
     skip: int = 0
+    merged: bool = False
 
     def column(self, html: Column) -> Column:
         """The records of a page."""
@@ -35,6 +38,12 @@ class Records:
             found = F.regexp_extract_all(text, F.lit(self.pattern), F.lit(1))
         else:
             found = nested_regions(text, self.path)
+        return self.chosen(found)
+
+    def chosen(self, found: Column) -> Column:
+        """Those of the elements found that count, or one for all."""
+        if self.merged:
+            return let(found, lambda x: F.when(F.size(x) > 0, F.array(F.array_join(x, ""))).otherwise(x))
         if self.only_first:
             return F.slice(found, 1, 1)
         return F.slice(found, self.skip + 1, 1 << 30) if self.skip else found

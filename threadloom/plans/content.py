@@ -62,8 +62,8 @@ def page_posts(pages: DataFrame, profile: SiteProfile) -> DataFrame:
             found = []
             for part in parts:
                 records = part.records
-                inside = F.flatten(F.transform(scopes, lambda x: records.inside(x)))
-                found.append(_posts(F.slice(inside, 1, 1) if records.only_first else inside, part))
+                inside = F.flatten(F.transform(scopes, lambda x: nested_regions(x, records.path)))
+                found.append(_posts(records.chosen(inside), part))
             return F.concat(*found)
 
         posts = let(nested_regions(without_hidden(html), scope), all_parts)

@@ -53,7 +53,7 @@ def page_items(
         title, raw_date = x[0], x[2]
         return F.struct(
             (i + 1).alias("item_no"),
-            (strip(title) if listing.strip_title else title).alias("thread_title"),
+            title.alias("thread_title"),
             x[1].alias("href"),
             raw_date.alias("raw_date"),
             _instant(listing, profile.zone, raw_date, now).alias("thread_ts"),
@@ -75,10 +75,13 @@ def page_items(
             listing.start_date,
             now,
         )
+        link = absolute_link(x["href"], base_url)
         return F.struct(
             x["item_no"].alias("item_no"),
-            x["thread_title"].alias("thread_title"),
-            absolute_link(x["href"], base_url).alias("thread_link"),
+            (strip(x["thread_title"]) if listing.strip_title else x["thread_title"]).alias("thread_title"),
+            (link if listing.join_links else F.when(x["href"].startswith("/"), link).otherwise(x["href"])).alias(
+                "thread_link"
+            ),
             text.alias("thread_date"),
             x["thread_ts"].alias("thread_ts"),
             status.alias("status"),
@@ -112,6 +115,11 @@ def listed_threads(items: DataFrame, profile: SiteProfile) -> DataFrame:
     return clean_validate(threads, profile.listing.rules, profile.zone) if profile.listing.rules else threads
 
 
+def prepare_seeds(seeds: DataFrame, profile: SiteProfile) -> DataFrame:
+    """The site's seed forums, one per canonical link."""
+    return first_per_link(seeds.filter(F.col("site") == profile.site), "url", ["ord", "url"])
+
+
 @dataclass(frozen=True)
 class ListingResult:
     threads: DataFrame
@@ -131,16 +139,18 @@ def listing_job(
 
     ``reuse`` stores the extracted page items in the shared folder, so the HTML is read and
     searched once for all three results; without it each result scans the pages. A profile that
-    stops at an empty page needs the items twice, so there they are always stored.
+    stops at an empty page or has a page cap needs the items twice, so there they are always
+    stored; both work on these narrow rows, never on HTML.
     """
     configure(pages.sparkSession)
     listing = profile.listing
-    site_seeds = first_per_link(seeds.filter(F.col("site") == profile.site), "url", ["ord", "url"])
+    site_seeds = prepare_seeds(seeds, profile)
     site_pages = pages.filter(F.col("site") == profile.site)
-    capped = crawl.first_pages(site_pages, listing.page_cap)
-    items = with_forum(page_items(capped, profile, keywords, as_of), site_seeds)
-    if reuse or listing.stop_at_empty:
+    items = with_forum(page_items(site_pages, profile, keywords, as_of), site_seeds)
+    if reuse or listing.stop_at_empty or listing.page_cap:
         items = stored(items, "items")
+    if listing.page_cap:
+        items = crawl.first_pages(items, listing.page_cap)
     if listing.stop_at_empty:
         items = crawl.pages_until_empty(items.withColumn("n_items", F.size("items")))
     stats = crawl.forum_stats(items)

@@ -25,7 +25,9 @@ from threadloom.operators.validate import LISTING_RULES, POST_RULES, QUOTED_POST
 @dataclass(frozen=True)
 class Listing:
     """A forum list page. ``dates``: 'forum' (absolute or n days ago), 'offset' (ISO text) or
-    'shown' (kept as text, not used to filter)."""
+    'shown' (kept as text, not used to filter). ``page_cap`` is a crawler's guard; over stored
+    pages there is none unless a caller sets one. ``join_links`` puts the host before every
+    link without one, not only before those that begin with a slash."""
 
     records: Records
     title: str
@@ -34,10 +36,11 @@ class Listing:
     dates: str
     keyword_on: str = "thread_title"
     start_date: str = "2020-07-01"
-    page_cap: int = 100
+    page_cap: int | None = None
     stop_at_empty: bool = False
     strip_title: bool = False
     zero_rows: bool = False
+    join_links: bool = True
     rules: tuple[Check, ...] = ()
 
 
@@ -85,11 +88,10 @@ AUTOHOME = SiteProfile(
         link=attr_in("href", Tag("p", ("post-title",)), Tag("a"), strict=True),
         date=text_in(Tag("div", ("post-basic-info",)), Tag("i", ("time",))),
         dates="forum",
-        page_cap=200,
     ),
     posts=(
         PostPart(
-            records=Records(path=(Tag("div", ("post-wrap",)),), only_first=True),
+            records=Records(path=(Tag("div", ("post-wrap",)),), merged=True),
             author=_AH_AUTHOR,
             text=lambda r: joined_text(
                 F.flatten(
@@ -167,6 +169,7 @@ TESLA = SiteProfile(
         stop_at_empty=True,
         strip_title=True,
         zero_rows=True,
+        join_links=False,
         rules=LISTING_RULES,
     ),
     posts=(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from threadloom.functions.links import host
 from threadloom.profiles import ARTICLES
 from threadloom.session import configure
-from threadloom.sources.readers import read_pages, spread
+from threadloom.sources.readers import read_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -39,6 +39,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows of the given tables, which are single files of one split, over all cores."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table whose rows cost CPU time, over all cores even when it is one small file."""
     return spread(table(spark, sf_dir, name))
@@ -46,7 +51,7 @@ def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def page_table(spark: SparkSession, sf_dir: str, site: str = ARTICLES.site) -> DataFrame:
     """The raw pages as fetched pages: the host is the forum, the page id the page number."""
-    return read_pages(spark, f"{sf_dir}/pages.parquet").select(
+    return spread(read_pages(spark, f"{sf_dir}/pages.parquet")).select(
         F.lit(site).alias("site"),
         F.concat(F.lit("https://"), host(F.col("url")), F.lit("/")).alias("seed_url"),
         F.col("page_id").alias("page_no"),

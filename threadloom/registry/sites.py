@@ -14,7 +14,6 @@ from threadloom.registry.base import (
     KEYWORDS,
     absolute,
     decoded,
-    first_pages,
     inline,
     page_table,
     query,
@@ -40,10 +39,10 @@ def _run(pages, profile):
 
 
 def _items(profile):
-    """Listed threads on the pages within the site's cap."""
+    """Listed threads of all pages."""
     hrefs = r'''regexp_extract_all(html, '<li><a href="([^"]*)">[^<]*</a></li>', 1)'''
     titles = r'''regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', 1)'''
-    rows = unnested(hrefs, f"{HOST_SQL} AS host, {titles}[i] AS raw_title", first_pages(profile.listing.page_cap))
+    rows = unnested(hrefs, f"{HOST_SQL} AS host, {titles}[i] AS raw_title")
     return f"""SELECT *, {decoded("raw_title")} AS title, {decoded("x")} AS href FROM ({rows})"""
 
 # --- autohome: relative dates, some missing, some unreadable ---
@@ -103,7 +102,7 @@ def x7_autohome_rejects(spark, sf_dir):
     f"""SELECT h.host AS forum_name, any_value(pages) AS pages, count(page_no) AS crawled,
         count(*) FILTER (keep) AS yielded
         FROM (SELECT {HOST_SQL} AS host, count(*) AS pages
-              FROM {first_pages(AUTOHOME.listing.page_cap)} GROUP BY ALL) h
+              FROM pages GROUP BY ALL) h
         LEFT JOIN ({_AUTOHOME}) i ON i.host = h.host GROUP BY h.host""",
 )
 def a1_autohome_stats(spark, sf_dir):
@@ -149,7 +148,7 @@ def _tesla_pages(spark, sf_dir):
     return _list_pages(spark, sf_dir, TESLA.site, "<div>", "</div>", item, empty)
 
 
-_TESLA = f"""SELECT *, {absolute("href", "'" + TESLA.base_url + "'")} AS link,
+_TESLA = f"""SELECT *, CASE WHEN href LIKE '/%' THEN {absolute("href", "'" + TESLA.base_url + "'")} ELSE href END AS link,
     '2023-' || lpad(CAST(page_no % 12 + 1 AS VARCHAR), 2, '0') || '-15 14:00:00 UTC' AS day,
     regexp_matches(href, '{KEYWORD_SQL}', 'i') AND title <> '' AND page_no % 12 + 1 >= 7 AS keep,
     FROM ({_items(TESLA)}) i JOIN (SELECT {HOST_SQL} AS stop_host, min(page_id) FILTER (page_id % 6 = 5) AS stop
@@ -172,7 +171,7 @@ def x7_tesla(spark, sf_dir):
     f"""SELECT h.host AS forum_name, any_value(pages) AS pages, count(page_no) AS crawled,
         count(*) FILTER (keep) AS yielded
         FROM (SELECT {HOST_SQL} AS host, count(*) FILTER (stop IS NULL OR page_id <= stop) AS pages
-              FROM {first_pages(TESLA.listing.page_cap)} JOIN (SELECT {HOST_SQL} AS stop_host, min(page_id) FILTER (page_id % 6 = 5) AS stop
+              FROM pages JOIN (SELECT {HOST_SQL} AS stop_host, min(page_id) FILTER (page_id % 6 = 5) AS stop
                                FROM pages GROUP BY ALL) s ON s.stop_host = {HOST_SQL} GROUP BY ALL) h
         LEFT JOIN ({_TESLA}) i ON i.host = h.host GROUP BY h.host""",
 )

@@ -12,8 +12,6 @@ from threadloom import schemas
 from threadloom.functions.text import strip
 from threadloom.session import configure
 
-KEYWORD_BYTES = 1 << 20
-
 
 def read_keywords(
     spark: SparkSession, path: str, site: str | None = None, skip_comments: bool = False
@@ -32,11 +30,15 @@ def read_keywords(
     return kept.filter(~F.col("keyword").startswith("#")) if skip_comments else kept
 
 
-def keyword_list(keywords: DataFrame, limit: int = KEYWORD_BYTES) -> list[str]:
-    """The keywords on the driver, where the search pattern is built; refused above ``limit``."""
-    total = keywords.agg(F.coalesce(F.sum(F.octet_length("keyword")), F.lit(0))).first()[0]
-    if total > limit:
-        raise ValueError(f"{total} bytes of keywords do not make a usable pattern (limit {limit})")
+def keyword_list(keywords: DataFrame, limit: int | None = None) -> list[str]:
+    """The keywords on the driver, where the search pattern is built: a hand-written list.
+
+    A caller that cannot trust the file may set a ``limit`` in bytes, above which it is refused.
+    """
+    if limit is not None:
+        total = keywords.agg(F.coalesce(F.sum(F.octet_length("keyword")), F.lit(0))).first()[0]
+        if total > limit:
+            raise ValueError(f"{total} bytes of keywords do not make a usable pattern (limit {limit})")
     return [row.keyword for row in keywords.orderBy("ord").collect()]
 
 
@@ -58,17 +60,7 @@ def read_seeds(spark: SparkSession, path: str, site: str, multi_line: bool = Tru
 
 def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """The table of fetched pages. Partition it by site (and fetch day) so runs prune by folder."""
-    return spread(_load(spark.read.format(fmt), path))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt out to all cores when the files give fewer splits than there are cores.
-
-    Extraction is bound by CPU, so a small input in one file would keep one core busy. A large
-    input has more splits than cores and is left alone: no page is shuffled at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return _load(spark.read.format(fmt), path)
 
 
 def read_page_files(spark: SparkSession, pattern: str, site: str, seed_url: str) -> DataFrame:
@@ -117,14 +109,28 @@ def file_charsets(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_worklist(spark: SparkSession, path: str, charset: str | None = None) -> DataFrame:
+def read_worklist(
+    spark: SparkSession, path: str, charset: str | None = None, fmt: str | None = None
+) -> DataFrame:
     """Work-list CSV files as thread_title, thread_link, thread_date, whatever the file calls them.
 
     Quoted fields may hold line breaks and quotes. Files are read per charset and header; give
     ``charset`` to skip the look at the bytes when all files agree on both. ``ord`` keeps the
     order of rows inside a file.
+
+    A work list between jobs is Parquet (``fmt``), as ``write_rows`` leaves it, folders with
+    partitions too; it is read in parallel and needs no look at charsets. By default the names of
+    the files decide.
     """
     configure(spark)
+    if fmt is None:
+        names = _load(spark.read.format("binaryFile").option("recursiveFileLookup", True), path)
+        parquet = F.col("_metadata.file_path").endswith(".parquet")
+        fmt = "parquet" if not names.filter(parquet).select("path").isEmpty() else "csv"
+    if fmt == "parquet":
+        return _worklist(_load(spark.read.format("parquet"), path))
+    if fmt != "csv":
+        raise ValueError(f"work lists are csv or parquet, not {fmt}")
     if charset:
         return _worklist_csv(spark, [path], charset)
     groups = (
@@ -149,7 +155,13 @@ def _worklist_csv(spark: SparkSession, paths: list[str], charset: str) -> DataFr
         .option("encoding", charset)
         .csv(paths)
     )
+    return _worklist(rows)
+
+
+def _worklist(rows: DataFrame) -> DataFrame:
     rows = rows.withColumnsRenamed(schemas.WORKLIST_NAMES)
+    if "thread_link" not in rows.columns:
+        raise ValueError(f"no thread_link or post_link among {rows.columns}")
     fields = [
         F.col(f.name) if f.name in rows.columns else F.lit(None).cast("string").alias(f.name)
         for f in schemas.WORKLIST

@@ -16,8 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 from threadloom import schemas
 from threadloom.operators.lookup import with_forum
 from threadloom.operators.validate import clean_validate
-from threadloom.plans.content import extract_posts
-from threadloom.plans.listing import listed_threads, page_items
+from threadloom.plans.content import extract_posts, prepare_worklist
+from threadloom.plans.listing import listed_threads, page_items, prepare_seeds
 from threadloom.profiles import SiteProfile
 from threadloom.session import configure
 
@@ -40,13 +40,15 @@ def thread_stream(
 ) -> DataFrame:
     """Thread rows with ``reject_reason``, as the batch listing job gives them without limits."""
     site_pages = pages.filter(F.col("site") == profile.site)
-    return listed_threads(with_forum(page_items(site_pages, profile, keywords, as_of), seeds), profile)
+    site_seeds = prepare_seeds(seeds, profile)
+    return listed_threads(with_forum(page_items(site_pages, profile, keywords, as_of), site_seeds), profile)
 
 
 def post_stream(pages: DataFrame, worklist: DataFrame, profile: SiteProfile) -> DataFrame:
     """Checked post rows; the work list is a fixed table looked up by every micro-batch."""
     site_pages = pages.filter(F.col("site") == profile.site)
-    return clean_validate(extract_posts(site_pages, worklist, profile), profile.post_rules, profile.zone)
+    threads = prepare_worklist(worklist, profile)
+    return clean_validate(extract_posts(site_pages, threads, profile), profile.post_rules, profile.zone)
 
 
 def append_to(df: DataFrame, folder: str, checkpoint: str, once: bool = True) -> StreamingQuery:
