@@ -215,3 +215,9 @@ def direct_texts(region: Column) -> Column:
 
     found = F.filter(let(_cut(region, "</?[a-zA-Z]"), texts), lambda x: x != "")
     return F.transform(found, lambda x: decode_entities(x))
+
+
+def all_texts(region: Column) -> Column:
+    """Text nodes at any depth, in document order, with references decoded."""
+    found = F.filter(F.split(region, "<[/!?a-zA-Z][^>]*>", -1), lambda x: x != "")
+    return F.transform(found, lambda x: decode_entities(x))

@@ -190,7 +190,8 @@ TESLA = SiteProfile(
 )
 
 # Plain article pages: the navigation list is the listing, the paragraphs are the posts.
-_PARAGRAPH = r"(?s)<p>(.*?)</p>"
+# A paragraph ends at its end tag, at the next paragraph or with the article; tags inside it stay.
+_PARAGRAPH = r"<p>([^<]*+(?:<(?!/?p>|/article>)[^<]*+)*+)"
 _NAV_ITEM = r'(<li><a href="[^"]*">[^<]*</a></li>)'
 ARTICLES = SiteProfile(
     site="articles",

@@ -135,4 +135,6 @@ def unnested(array: str, extra: str = "", source: str = "pages") -> str:
 
 
 NAV_SQL = r"""regexp_extract_all(html, '(<li><a href="[^"]*">[^<]*</a></li>)', 1)"""
-PARAGRAPHS_SQL = "regexp_extract_all(html, '(?s)<p>(.*?)</p>', 1)"
+# All paragraphs, closed or not: what stands behind each start tag, up to the first tag that ends one.
+PARAGRAPHS_SQL = """list_transform(string_split(html, '<p>')[2:],
+    lambda x: regexp_extract(x, '(?s)^(.*?)(?:</p>|</article>|$)', 1))"""

@@ -7,10 +7,20 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from threadloom.operators.filters import usable_worklist
+from threadloom.plans.content import content_job
 from threadloom.plans.listing import listed_threads
 from threadloom.profiles import ARTICLES
-from threadloom.registry.base import AS_OF, HOST_SQL, KEYWORDS, page_table, query, seed_table, table
-from threadloom.registry.forums import article_items
+from threadloom.registry.base import (
+    AS_OF,
+    HOST_SQL,
+    KEYWORDS,
+    PARAGRAPHS_SQL,
+    page_table,
+    query,
+    seed_table,
+    table,
+)
+from threadloom.registry.forums import article_items, thread_list
 from threadloom.session import fresh_folder
 from threadloom.sources.readers import (
     latest_output,
@@ -20,7 +30,7 @@ from threadloom.sources.readers import (
     read_worklist,
 )
 from threadloom.sources.writers import write_rows
-from threadloom.streaming.incremental import append_to, read_page_stream, thread_stream
+from threadloom.streaming.incremental import append_to, post_stream, read_page_stream, thread_stream
 
 STARTED = datetime(2024, 2, 1, 12, 30, 5)
 
@@ -149,14 +159,45 @@ def r1_stream(spark, sf_dir):
     return rows.select("page_no", "item_no", "thread_title", "forum_url")
 
 
-@query("r1_stream_equals_batch", "SELECT 0 AS only_batch, 0 AS only_stream, true AS any_rows")
+def _counted(stream, batch, keys):
+    """How often each row comes from either side; a repeated row shows as a second copy."""
+    both = stream.select(*keys, F.lit("stream").alias("side")).unionByName(
+        batch.select(*keys, F.lit("batch").alias("side"))
+    )
+    return both.groupBy(*keys, "side").agg(F.count("*").alias("copies"))
+
+
+@query(
+    "r1_stream_equals_batch",
+    f"""SELECT page_no, item_no, title AS thread_title, {HOST_SQL} AS forum_name, side, CAST(1 AS BIGINT) AS copies,
+        CASE WHEN href = '' THEN 'Missing thread_link' END AS reject_reason
+        FROM (SELECT page_id AS page_no, url, CAST(i AS INTEGER) AS item_no, xs[i] AS title, hs[i] AS href FROM
+            (SELECT *, regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', 1) AS xs,
+                regexp_extract_all(html, '<li><a href="([^"]*)">[^<]*</a></li>', 1) AS hs FROM pages),
+            unnest(range(1, len(xs) + 1)) AS t(i)), (VALUES ('stream'), ('batch')) AS s(side)
+        WHERE regexp_matches(title, '(?:the|tion|über|q[eu])', 'i')""",
+)
 def r1_stream_equals_batch(spark, sf_dir):
     keys = ["page_no", "item_no", "thread_title", "forum_name", "reject_reason"]
-    stream = _stream(spark, sf_dir).select(*keys, F.lit(1).alias("side"))
-    batch = listed_threads(article_items(spark, sf_dir), ARTICLES).select(*keys, F.lit(2).alias("side"))
-    sides = stream.unionByName(batch).groupBy(*keys).agg(F.sum("side").alias("sides"))
-    return sides.agg(
-        F.count_if(F.col("sides") == 2).cast("int").alias("only_batch"),
-        F.count_if(F.col("sides") == 1).cast("int").alias("only_stream"),
-        (F.count("*") > 0).alias("any_rows"),
-    )
+    batch = listed_threads(article_items(spark, sf_dir), ARTICLES)
+    return _counted(_stream(spark, sf_dir), batch, keys)
+
+
+@query(
+    "r1_post_stream",
+    f"""SELECT page_no, CAST(i AS INTEGER) AS item_no, side, CAST(1 AS BIGINT) AS copies
+        FROM (SELECT page_id AS page_no, {PARAGRAPHS_SQL} AS xs FROM pages),
+            unnest(range(1, len(xs) + 1)) AS t(i), (VALUES ('stream'), ('batch')) AS s(side)""",
+)
+def r1_post_stream(spark, sf_dir):
+    """Posts of arriving pages, with every thread twice in the work list, beside those of the batch job."""
+    folder = fresh_folder(spark, "arriving-posts")
+    pages = page_table(spark, sf_dir)
+    pages.repartition(4, "page_no").write.parquet(folder)
+    once = thread_list(pages)
+    threads = once.unionByName(once.withColumn("thread_link", F.concat("thread_link", F.lit("#again"))))
+    posts = post_stream(read_page_stream(spark, folder, max_files=2), threads, ARTICLES)
+    out, state = fresh_folder(spark, "posts"), fresh_folder(spark, "post-state")
+    append_to(posts, out, state).awaitTermination()
+    keys = ["page_no", "item_no"]
+    return _counted(spark.read.parquet(out), content_job(pages, threads, ARTICLES).checked, keys)

@@ -142,7 +142,7 @@ def j1_forum(spark, sf_dir):
     return joined.select("page_no", "forum_name", "forum_url", "forum_description")
 
 
-def _worklist(pages):
+def thread_list(pages):
     """Hosts with an odd-length name are listed threads; their first page gives the title."""
     first_title = F.min_by(F.regexp_extract("html", "<h1>([^<]+)", 1), "page_no")
     threads = pages.groupBy("seed_url").agg(first_title.alias("thread_title"))
@@ -166,7 +166,7 @@ _WORKLIST = f"""SELECT {HOST_SQL} AS host, 'https://' || {HOST_SQL} || '/' AS th
 )
 def j2_thread(spark, sf_dir):
     pages = page_table(spark, sf_dir)
-    joined = with_thread(pages.drop("html"), _worklist(pages))
+    joined = with_thread(pages.drop("html"), thread_list(pages))
     return joined.select(
         "page_no",
         "thread_title",
@@ -202,7 +202,7 @@ _POSTS = f"""SELECT page_no, item_no, CASE WHEN thread_link IS NOT NULL THEN thr
 )
 def x8_content(spark, sf_dir):
     pages = page_table(spark, sf_dir)
-    return extract_posts(pages, _worklist(pages), ARTICLES).drop("site", "author_id")
+    return extract_posts(pages, thread_list(pages), ARTICLES).drop("site", "author_id")
 
 
 @query(
@@ -214,7 +214,7 @@ def x8_content(spark, sf_dir):
 )
 def t1_stages(spark, sf_dir):
     pages = page_table(spark, sf_dir)
-    raw = extract_posts(pages, _worklist(pages), ARTICLES).drop("site", "author_id")
+    raw = extract_posts(pages, thread_list(pages), ARTICLES).drop("site", "author_id")
     stages = {
         accepted: 900,
         (lambda df: df.drop("date_ts")): 950,

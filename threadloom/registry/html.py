@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from threadloom.functions.markup import Tag, attr_in, every, firsts, outer_html, text_in
+from threadloom.functions.markup import Tag, all_texts, attr_in, firsts, outer_html, text_in
 from threadloom.functions.text import element_text, joined_text
 from threadloom.operators.records import (
     Records,
@@ -16,6 +16,7 @@ from threadloom.operators.records import (
 from threadloom.profiles import ARTICLES
 from threadloom.registry.base import (
     NAV_SQL,
+    PARAGRAPHS_SQL,
     ORIGIN_SQL,
     absolute,
     decoded,
@@ -68,12 +69,14 @@ def x2_first_field(spark, sf_dir):
 
 @query(
     "x3_joined_paragraphs",
-    f"""SELECT page_id AS page_no, array_to_string(list_filter(list_transform(
-        regexp_extract_all(html, '<p>([^<]*)', 1), lambda x: {stripped(decoded("x"))}),
-        lambda x: x <> ''), '') AS text FROM pages""",
+    f"""SELECT page_id AS page_no, array_to_string(list_filter(list_transform(flatten(list_transform(
+        {PARAGRAPHS_SQL}, lambda p: string_split_regex(p, '<[/!?a-zA-Z][^>]*>'))),
+        lambda x: {stripped(decoded("x"))}), lambda x: x <> ''), '') AS text FROM pages""",
 )
 def x3_joined_paragraphs(spark, sf_dir):
-    texts = joined_text(every(F.col("html"), "<p>([^<]*)"))
+    paragraphs = ARTICLES.posts[0].records.pattern
+    found = F.regexp_extract_all("html", F.lit(paragraphs), F.lit(1))
+    texts = joined_text(F.flatten(F.transform(found, all_texts)))
     return page_table(spark, sf_dir).select("page_no", texts.alias("text"))
 
 
