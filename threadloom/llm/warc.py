@@ -28,6 +28,8 @@ from threadloom.session import fresh_folder, stored
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 #: An archive is closed once it has so many bytes.
 ARCHIVE_BYTES = 512 << 20
+#: Bytes of packed records that one task reads.
+READ_BYTES = 8 << 20
 DATE = "1970-01-01T00:00:00Z"
 RECORD = "page_id long, record_type string, refers_to long, payload_digest string, payload_bytes long, url string, payload binary"
 
@@ -227,8 +229,8 @@ def members_of(packed: bytes) -> Iterator[bytes]:
 def read_records(ranges: DataFrame, payloads: bool = True) -> DataFrame:
     """The records at (path, start, length), with the columns of ``RECORD``.
 
-    The narrow ranges are dealt out over the cluster in the order of the archives, so tasks share the records,
-    not the archives. Without ``payloads`` the payload is checked, but not returned.
+    The ranges are dealt out over the cluster in the order of the archives, so tasks share the records,
+    not the archives; there are as many parts as the records behind the narrow rows have ``READ_BYTES``. Without ``payloads`` the payload is checked, but not returned.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,13 +258,15 @@ def read_records(ranges: DataFrame, payloads: bool = True) -> DataFrame:
 
     types = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     kind = pa.schema([(n, types[t]) for n, t in (f.split() for f in RECORD.split(", "))])
-    return ranges.repartitionByRange("path", "start").sortWithinPartitions("path", "start").mapInArrow(read, RECORD)
+    total = ranges.agg(F.sum("length")).first()[0] or 0
+    parts = 1 + total // READ_BYTES
+    return ranges.repartitionByRange(parts, "path", "start").sortWithinPartitions("path", "start").mapInArrow(read, RECORD)
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, payloads: bool = True) -> DataFrame:
     """Records of all pages, written to a new folder in the shared one and read back."""
     archives = write_archives(spark, pages, fresh_folder(spark, "warc"))
-    return read_records(locate_records(archives), payloads)
+    return read_records(stored(locate_records(archives), "ranges"), payloads)
 
 
 ORACLE = """
