@@ -144,3 +144,19 @@ def test_streams_use_each_link_once(spark, tmp_path):
     stream = incremental.thread_stream(incremental.read_page_stream(spark, str(tmp_path / "pages")), seeds, profile, ["事故"], AS_OF)
     incremental.append_to(stream, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
     assert accepted(spark.read.parquet(str(tmp_path / "out"))).count() == 1
+
+
+def test_each_page_has_its_own_now(spark):
+    profile = profiles.AUTOHOME
+    page = (
+        '<ul class="post-list"><li><p class="post-title"><a href="/1">违章</a></p>'
+        '<div class="post-basic-info"><i class="time">2天前</i></div></li></ul>'
+    )
+    days = spark.createDataFrame([(1, "2024-02-01 00:00:00"), (2, "2024-03-05 00:00:00")], "page_no long, day string")
+    pages = pages_of(spark, profile, page, page).drop("fetched_at").join(days, "page_no")
+    pages = pages.withColumn("fetched_at", F.col("day").cast("timestamp"))
+    got = listing_job(pages, seeds_of(spark, profile), profile, ["违章"]).threads
+    assert {r.page_no: r.thread_date for r in got.collect()} == {
+        1: "2024-01-30T08:00:00+0800",
+        2: "2024-03-03T08:00:00+0800",
+    }

@@ -41,7 +41,7 @@ TESLA_POSTS = (
 
 
 def pages_of(spark, profile, *htmls, seed="https://f/"):
-    rows = [(profile.site, seed, n, f"{seed}?{n}", h) for n, h in enumerate(htmls, 1)]
+    rows = [(profile.site, seed, n, f"{seed}?{n}", h, None) for n, h in enumerate(htmls, 1)]
     return spark.createDataFrame(rows, schemas.PAGES)
 
 

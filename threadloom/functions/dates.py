@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from threadloom.functions.text import strip
 
+# The shapes of dates that forums show, and the units of "n ... ago".
 # Full calendar ISO 8601; a bare cast would also take "10:30" or "2024" for a date.
 _ISO = r"^\d{4}-\d\d-\d\d(?:[T ]\d\d:\d\d(?::\d\d(?:\.\d{1,6})?)?(?:Z|[+-]\d\d:?\d\d)?)?$"
 _OFFSET = r":\d\d(?:\.\d+)?(?:Z|[+-]\d\d:?\d\d)$"
@@ -20,8 +21,10 @@ _SLASH = r"^\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}$"
 _AGO = (("天前", "days", 700_000), ("小时前", "hours", 16_800_000), ("分钟前", "mins", 1_000_000_000))
 
 
-def instant(as_of: datetime | str) -> Column:
-    """One fixed 'now' for a whole job, as a UTC timestamp literal."""
+def instant(as_of: datetime | str | Column) -> Column:
+    """'Now': one for a whole job, as a UTC timestamp literal, or a timestamp column of each row."""
+    if isinstance(as_of, Column):
+        return as_of
     if isinstance(as_of, datetime):
         moment = as_of if as_of.tzinfo else as_of.replace(tzinfo=timezone.utc)
         as_of = moment.astimezone(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
@@ -31,6 +34,7 @@ def instant(as_of: datetime | str) -> Column:
 def forum_date_ts(c: Column, as_of: Column, zone: str = "Asia/Shanghai") -> Column:
     """Instant of ``YYYY/MM/DD HH:MM:SS`` in ``zone`` or of "n days/hours/minutes ago"; else null."""
     raw = strip(c)
+    # ``as_of`` may differ from row to row.
     absolute = F.when(
         raw.rlike(_SLASH),
         F.to_utc_timestamp(F.try_to_timestamp(raw, F.lit("yyyy/MM/dd HH:mm:ss")), zone),

@@ -35,14 +35,17 @@ def page_items(
     pages: DataFrame,
     profile: SiteProfile,
     keywords: Iterable[str],
-    as_of: datetime | str,
+    as_of: datetime | str | Column | None = None,
     base: Column | None = None,
 ) -> DataFrame:
     """One row per page with its listed threads as an array; the HTML ends here.
 
+    Relative dates and the end of the date range count from ``as_of``: one moment, a column, or by
+    default the time at which each page was fetched.
+
     Every later step (page limits, statistics, thread rows) works on these narrow rows.
     """
-    listing, now = profile.listing, instant(as_of)
+    listing, now = profile.listing, instant(F.col("fetched_at") if as_of is None else as_of)
     pattern = keyword_pattern(keywords)
     base_url = profile.base_url if base is None else base
 
@@ -132,7 +135,7 @@ def listing_job(
     seeds: DataFrame,
     profile: SiteProfile,
     keywords: Iterable[str],
-    as_of: datetime | str,
+    as_of: datetime | str | Column | None = None,
     reuse: bool = True,
 ) -> ListingResult:
     """Threads, rejects and statistics of one site's list pages.

@@ -109,6 +109,21 @@ def p2_dates_rel(spark, sf_dir):
     return _forum_dates(text_table(spark, sf_dir, "events").select("event_id", raw.alias("raw")))
 
 
+@query(
+    "p2_dates_fetched",
+    """SELECT event_id, strftime(CASE WHEN event_id % 2 = 0 THEN ts - to_days(CAST(user_id % 400 AS INTEGER))
+            ELSE ts - to_hours(user_id) END, '%Y-%m-%d %H:%M:%S') AS post_ts FROM events""",
+)
+def p2_dates_fetched(spark, sf_dir):
+    """Relative dates, each against the moment of its own row."""
+    ago = F.when(
+        F.col("event_id") % 2 == 0, F.concat((F.col("user_id") % 400).cast("string"), F.lit("天前"))
+    ).otherwise(F.concat(F.col("user_id").cast("string"), F.lit("小时前")))
+    events = text_table(spark, sf_dir, "events").select("event_id", ago.alias("raw"), F.col("ts").cast("timestamp").alias("now"))
+    found = forum_date_ts(F.col("raw"), instant(F.col("now")))
+    return events.select("event_id", F.date_format(found, "yyyy-MM-dd HH:mm:ss").alias("post_ts"))
+
+
 @query("p3_clean_inline", f"SELECT page_id AS page_no, {inline('html')} AS text FROM pages")
 def p3_clean_inline(spark, sf_dir):
     return page_table(spark, sf_dir).select("page_no", clean_inline(F.col("html")).alias("text"))

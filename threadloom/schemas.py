@@ -19,9 +19,15 @@ SEEDS = _schema(
 
 KEYWORDS = _schema(("site", _STR), ("ord", _LONG), ("keyword", _STR))
 
-# A fetched page. seed_url is the forum (listing run) or the thread link (content run).
+# A fetched page. seed_url is the forum (listing run) or the thread link (content run); fetched_at
+# is "now" for the dates it shows.
 PAGES = _schema(
-    ("site", _STR), ("seed_url", _STR), ("page_no", _LONG), ("url", _STR), ("html", _STR)
+    ("site", _STR),
+    ("seed_url", _STR),
+    ("page_no", _LONG),
+    ("url", _STR),
+    ("html", _STR),
+    ("fetched_at", _TS),
 )
 
 THREADS = _schema(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -36,9 +36,12 @@ def thread_stream(
     seeds: DataFrame,
     profile: SiteProfile,
     keywords: Iterable[str],
-    as_of: datetime | str,
+    as_of: datetime | str | Column | None = None,
 ) -> DataFrame:
-    """Thread rows with ``reject_reason``, as the batch listing job gives them without limits."""
+    """Thread rows with ``reject_reason``, as the batch listing job gives them without limits.
+
+    Each page's own fetch time is "now" unless ``as_of`` says otherwise, so a stream may run on.
+    """
     site_pages = pages.filter(F.col("site") == profile.site)
     site_seeds = prepare_seeds(seeds, profile)
     return listed_threads(with_forum(page_items(site_pages, profile, keywords, as_of), site_seeds), profile)
