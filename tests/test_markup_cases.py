@@ -13,6 +13,7 @@ from threadloom.functions.markup import Tag, direct_texts, first, regions, text_
 from threadloom.operators.validate import accepted
 from threadloom.plans.content import content_job
 from threadloom.plans.listing import listing_job
+from threadloom.session import clear, stored
 from threadloom.sources.readers import read_worklist
 from threadloom.sources.writers import write_rows
 from threadloom.streaming import incremental
@@ -160,3 +161,9 @@ def test_each_page_has_its_own_now(spark):
         1: "2024-01-30T08:00:00+0800",
         2: "2024-03-03T08:00:00+0800",
     }
+
+
+def test_stored_tables_can_be_cleared(spark):
+    clear(spark)
+    table = stored(spark.range(3), "numbers")
+    assert table.count() == 3 and clear(spark) == 1 and clear(spark) == 0

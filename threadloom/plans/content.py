@@ -15,7 +15,7 @@ from threadloom.operators.lookup import with_thread
 from threadloom.operators.records import explode_items, tail_date, tail_position
 from threadloom.operators.validate import accepted, clean_validate, rejects
 from threadloom.profiles import PostPart, SiteProfile
-from threadloom.session import configure
+from threadloom.session import configure, stored
 
 
 def _posts(records: Column, part: PostPart) -> Column:
@@ -110,10 +110,18 @@ def prepare_worklist(worklist: DataFrame, profile: SiteProfile) -> DataFrame:
     return first_per_link(usable, "thread_link", order)
 
 
-def content_job(pages: DataFrame, worklist: DataFrame, profile: SiteProfile) -> ContentResult:
-    """Clean posts and rejects. ``checked`` holds both, for a single write split by reason."""
+def content_job(
+    pages: DataFrame, worklist: DataFrame, profile: SiteProfile, reuse: bool = True
+) -> ContentResult:
+    """Clean posts and rejects. ``checked`` holds both, for a single write split by reason.
+
+    ``reuse`` stores the checked rows in the shared folder, so the HTML is read and searched once
+    for all results; without it each result scans the pages.
+    """
     configure(pages.sparkSession)
     site_pages = pages.filter(F.col("site") == profile.site)
     raw = extract_posts(site_pages, prepare_worklist(worklist, profile), profile)
     checked = clean_validate(raw, profile.post_rules, profile.zone)
+    if reuse:
+        checked = stored(checked, "posts")
     return ContentResult(accepted(checked), rejects(checked), checked)

@@ -243,7 +243,7 @@ def x8_tieba(spark, sf_dir):
         return F.concat(F.lit('<div class="p_postlist" id="j_p_postlist">'), body, F.lit("</div>"))
 
     pages = _thread_pages(spark, sf_dir, TIEBA, "/p/", posts)
-    return content_job(pages, _worklist(pages, spark, sf_dir), TIEBA).posts.drop("site", "date_ts")
+    return content_job(pages, _worklist(pages, spark, sf_dir), TIEBA, reuse=False).posts.drop("site", "date_ts")
 
 
 _AUTOHOME_TEXT = inline(f"{stripped(decoded('x'))} || 'last&'")
@@ -285,7 +285,7 @@ def x8_autohome(spark, sf_dir):
         )
 
     pages = _thread_pages(spark, sf_dir, AUTOHOME, "/bbs/thread/", posts)
-    return content_job(pages, _worklist(pages, spark, sf_dir), AUTOHOME).posts.drop("site", "date_ts")
+    return content_job(pages, _worklist(pages, spark, sf_dir), AUTOHOME, reuse=False).posts.drop("site", "date_ts")
 
 
 _TESLA_TEXT = f"{stripped(decoded('x'))} || chr(10) || ' line two'"
@@ -314,4 +314,4 @@ def x8_tesla(spark, sf_dir):
         )
 
     pages = _thread_pages(spark, sf_dir, TESLA, "/threads/", posts)
-    return content_job(pages, _worklist(pages, spark, sf_dir), TESLA).posts.drop("site", "date_ts")
+    return content_job(pages, _worklist(pages, spark, sf_dir), TESLA, reuse=False).posts.drop("site", "date_ts")

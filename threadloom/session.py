@@ -57,7 +57,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
     """A path in the shared folder that no other run uses; nothing is created yet."""
-    return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+_handed_out: list[str] = []
+
+
+def clear(spark: SparkSession) -> int:
+    """Delete the hand-off tables and folders that this process has made; their number.
+
+    Results that are not yet written still read them, so this is the last call of a run.
+    """
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = 0
+    while _handed_out:
+        path = jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
