@@ -208,8 +208,25 @@ def refine(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return shared, pointer[shared]
 
 
-def repeats(anchors: np.ndarray, ids: np.ndarray, docs: np.ndarray, at: np.ndarray, contexts: list[bytes]):
-    """(doc, start, end) of the runs of windows that occur earlier, for whole groups of contexts."""
+def repeats(ids: np.ndarray, docs: np.ndarray, at: np.ndarray, contexts: list[bytes]):
+    """(doc, start, end) of the runs of windows that occur earlier, for whole groups of contexts.
+
+    Of equal contexts only the first is refined; all of the others occurs earlier.
+    """
+    known: dict[bytes, int] = {}
+    same = np.fromiter((known.setdefault(c, len(known)) for c in contexts), np.int64, len(contexts))
+    order = np.lexsort((at, docs, ids, same))
+    head = order[np.flatnonzero(np.concatenate([[True], same[order][1:] != same[order][:-1]]))]
+    first = head[same]
+    # A repeated row is the same place, not a later one.
+    copy = (docs != docs[first]) | (at != at[first]) | (ids != ids[first])
+    length = np.array([len(c) for c in contexts], np.int64)
+    found = distinct_repeats(ids[head], docs[head], at[head], list(known))
+    return tuple(np.concatenate(x) for x in zip((docs[copy], at[copy], (at + length)[copy]), found))
+
+
+def distinct_repeats(ids: np.ndarray, docs: np.ndarray, at: np.ndarray, contexts: list[bytes]):
+    """As ``repeats``, where no two contexts are equal."""
     sizes = np.array([len(c) for c in contexts], np.int64)
     shared, pointer = refine(np.frombuffer(b"".join(contexts), np.uint8))
     ends = np.cumsum(sizes)
@@ -225,8 +242,7 @@ def repeats(anchors: np.ndarray, ids: np.ndarray, docs: np.ndarray, at: np.ndarr
     row, offset, pointer, start = row[order], offset[order], pointer[order], start[order]
     new = np.concatenate([[True], pointer[1:] != pointer[:-1]])
     first = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-    # A repeated row is the same place, not a later one.
-    later = (docs[row] != docs[row[first]]) | (start != start[first]) | (ids[row] != ids[row[first]])
+    later = np.arange(len(row)) != first
     row, start = row[later], start[later]
     order = np.lexsort((start, row))
     row, start = row[order], start[order]
@@ -245,7 +261,7 @@ def search_contexts(contexts: DataFrame) -> DataFrame:
         size = 0
 
         def found(rows: pa.Table) -> pa.RecordBatch:
-            columns = [rows[c].to_numpy() for c in ("anchor", "doc_id", "doc", "at")]
+            columns = [rows[c].to_numpy() for c in ("doc_id", "doc", "at")]
             docs, start, end = repeats(*columns, rows["context"].to_pylist())
             arrays = [pa.array(docs), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32))]
             return pa.RecordBatch.from_arrays(arrays, ["doc", "start", "end"])
@@ -301,15 +317,18 @@ def deduplicate(
     """
     keep = without(docs, [spans, kept])
     name = F.xxhash64(F.col(doc_id), F.col(text))
-    keyed = docs.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(FIRST_ID)).alias("doc_id"), name.alias("doc"), F.col(text).alias("text")
-    )
-    anchors = anchor_rows(keyed.select("doc", "text"))
+    # Both joins below meet this one table by the same key, so its texts are shuffled once.
+    base = docs.select(*(F.col(quoted(c)) for c in keep), name.alias("__doc"))
+    order = F.coalesce(F.col(quoted(doc_id)).cast("long"), F.lit(FIRST_ID)).alias("doc_id")
+    anchors = anchor_rows(docs.select(name.alias("doc"), F.col(quoted(text)).alias("text")))
     shared = stored(anchors.groupBy("anchor").count().filter("count > 1"), "anchors")
 
     def texts_with(named: DataFrame) -> DataFrame:
-        lists = named.groupBy("doc").agg(F.collect_list("anchor").alias("anchors"))
-        return keyed.join(lists.hint("shuffle_hash"), "doc").select("doc_id", "doc", "anchors", "text")
+        lists = named.groupBy(F.col("doc").alias("__doc")).agg(F.collect_list("anchor").alias("__anchors"))
+        joined = base.join(lists.hint("shuffle_hash"), "__doc")
+        return joined.select(
+            order, F.col("__doc").alias("doc"), F.col("__anchors").alias("anchors"), F.col(quoted(text)).alias("text")
+        )
 
     met = lambda some: anchors.join(some.hint("shuffle_hash"), "anchor").select("anchor", "doc")
     removed = search_contexts(context_rows(texts_with(met(shared.filter(F.col("count") <= hot_anchor)))))
@@ -322,11 +341,11 @@ def deduplicate(
         removed = removed.unionByName(
             later.select("doc", F.col("at").alias("start"), (F.col("at") + MATCH).alias("end"))
         )
-    runs = removed.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("runs"))
-    marked = docs.select(*(F.col(quoted(c)) for c in keep), name.alias("__doc")).join(
-        runs.withColumnRenamed("doc", "__doc").hint("shuffle_hash"), "__doc", "left"
+    runs = removed.groupBy(F.col("doc").alias("__doc")).agg(
+        F.collect_list(F.struct("start", "end")).alias("__runs")
     )
-    both = F.struct("runs", F.encode(F.coalesce(F.col(quoted(text)), F.lit("")), "UTF-8").alias("text"))
+    marked = base.join(runs.hint("shuffle_hash"), "__doc", "left")
+    both = F.struct(F.col("__runs").alias("runs"), F.encode(F.coalesce(F.col(quoted(text)), F.lit("")), "UTF-8").alias("text"))
     return cut(marked.select(*(F.col(quoted(c)) for c in keep), both.alias("__both")), keep, spans, kept)
 
 
