@@ -67,6 +67,49 @@ def x2_first_field(spark, sf_dir):
     return pages.select("page_no", *(F.col("f")[i].alias(n) for i, n in enumerate(("title", "lang", "date"))))
 
 
+@query(
+    "x1_child_records",
+    f"""SELECT page_no, item_no, '<li><ul><li>tag</li></ul>' || substr(x, 5) AS record FROM ({unnested(
+        "regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '(?s)(<li>.*?</li>)', 1)"
+    )})""",
+)
+def x1_child_records(spark, sf_dir):
+    """Items that begin with a list of their own are one record each."""
+    pages = page_table(spark, sf_dir).select(
+        "page_no", F.replace("html", F.lit("<li>"), F.lit("<li><ul><li>tag</li></ul>")).alias("html")
+    )
+    return extract_records(pages, Records(path=(Tag("nav"), Tag("ul"), Tag("li"))))
+
+
+@query(
+    "x2_first_text_node",
+    f"""SELECT page_id AS page_no, nullif({decoded("regexp_extract(html, '<h1>([^<]+)', 1)")}, '') AS title FROM pages""",
+)
+def x2_first_text_node(spark, sf_dir):
+    """A title behind an icon and a label."""
+    html = F.replace("html", F.lit("<h1>"), F.lit('<h1 class="t"><i class="icon"></i><b>new</b><img src="x">'))
+    title = firsts(html, text_in(Tag("h1", ("t",))))
+    return page_table(spark, sf_dir).select("page_no", title[0].alias("title"))
+
+
+@query(
+    "x4_nested",
+    f"""SELECT page_id AS page_no, {decoded(
+        "regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<[/!?a-zA-Z][^>]*>', '', 'g')"
+    )} || 'quoted' || 'tail' AS text FROM pages""",
+)
+def x4_nested(spark, sf_dir):
+    """The text of a block that holds a block of the same kind."""
+    article = F.regexp_extract("html", "(?s)<article>(.*?)</article>", 1)
+    block = F.concat(
+        F.lit('<div>x</div><div class="bbWrapper">'),
+        article,
+        F.lit('<div class="bbWrapper">quoted</div>tail</div><div>y</div>'),
+    )
+    text = element_text(outer_html(block, Tag("div", ("bbWrapper",))))
+    return page_table(spark, sf_dir).select("page_no", text.alias("text"))
+
+
 @query(
     "x3_joined_paragraphs",
     f"""SELECT page_id AS page_no, array_to_string(list_filter(list_transform(flatten(list_transform(
