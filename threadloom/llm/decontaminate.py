@@ -259,7 +259,14 @@ class Items:
 
 
 def matched(item: list[bytes], answer: list[bytes], text: list[bytes]) -> tuple[float, float]:
-    return common(item, text) / len(item), common(answer, text) / len(answer) if answer else 1.0
+    """Shares of the item and of its answer; both 0 where too few of the item's words occur at all."""
+    there = set(text)
+    if sum(w in there for w in item) < ITEM_SHARE * len(item):
+        return 0.0, 0.0
+    share = common(item, text) / len(item)
+    if share < ITEM_SHARE:
+        return 0.0, 0.0
+    return share, common(answer, text) / len(answer) if answer else 1.0
 
 
 def near_passages(halves: Halves, items: Items, latent: Latent) -> dict[tuple[int, int], dict[int, float]]:
