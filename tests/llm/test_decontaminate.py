@@ -42,6 +42,33 @@ def test_planted_passages(spark, monkeypatch, block_items):
     assert len(wrong) <= 1
 
 
+def test_short_last_sentence_cut_or_changed(spark):
+    bodies = [prose(40) for _ in range(12)]
+    ends = [["answer"], ["short", "end"], ["one", "of", "five", "words", "here"]]
+    items, rows = [], []
+    for i, body in enumerate(bodies):
+        items.append((i, f"{' '.join(body)}. {' '.join(ends[i % 3])}."))
+        for end in ([], ["changed"]):
+            rows.append((" ".join([*prose(120), *body, *end, *prose(120)]), i))
+    docs = edge_docs(spark, [(i, t, "en", 0) for i, (t, _) in enumerate(rows)])
+    table = spark.createDataFrame(items, "item_id long, text string")
+    found = D.mark(docs, table, D.fit(docs, table)).collect()
+    assert {r.doc_id: [m.item for m in r.matches] for r in found} == {i: [item] for i, (_, item) in enumerate(rows)}
+    assert all(m.answer_share is None for r in found for m in r.matches)
+
+
+def test_named_answers_and_the_window_that_holds_them(spark):
+    # The first passage holds more of the item, only the second one its answer.
+    body, answer = prose(64), ["tungsten", "lamps"]
+    first, second = [*body, "paper", "bags"], [*body[:52], *prose(12), *answer]
+    texts = [[*first, *prose(600), *second], first, [*body, *answer]]
+    docs = edge_docs(spark, [(i, " ".join(t), "en", 0) for i, t in enumerate(texts)])
+    names = "item_id long, text string, answer string"
+    items = spark.createDataFrame([(1, " ".join([*body, *answer]), " ".join(answer)), (2, " ".join([*body, *answer]), None), (3, " ".join(body), "?")], names)
+    found = D.mark(docs, items, D.fit(docs, items), answer="answer").collect()
+    assert {r.doc_id: sorted(m.item for m in r.matches) for r in found} == {0: [1, 2, 3], 1: [2, 3], 2: [1, 2, 3]}
+
+
 def test_edges(spark):
     docs = edge_docs(spark)
     items = spark.createDataFrame([(1, "Plain words stand here. And more of them follow!"), (None, "No id")], "item_id long, text string")

@@ -3,12 +3,11 @@
 Passages of documents and benchmark items become TF-IDF vectors over hashed words. A randomised
 singular value decomposition (one pass over the passages, combined from partition sums) gives a latent
 space; passages near an item there, by cosine, are candidates. A candidate counts if item and text share a long
-subsequence of words and the item's answer is there too.
+subsequence of words and, where the item names its answer, the answer is there too.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -220,12 +219,6 @@ def common(a: list, b: list) -> int:
     return len(a) - rest.bit_count()
 
 
-def last_sentence(text: bytes) -> list[bytes]:
-    """Words of the last sentence that has any: the item's answer where none is named."""
-    parts = [w for p in re.split(rb"[.!?]+", text) if (w := words_of(p))]
-    return parts[-1] if parts else []
-
-
 @dataclass(frozen=True)
 class Items:
     ids: list
@@ -240,7 +233,7 @@ class Items:
     def of(cls, rows: list[tuple], latent: Latent) -> Items:
         texts = [(i, (t or "").encode(), (a or "").encode()) for i, t, a in rows]
         words = [words_of(t) for _, t, _ in texts]
-        answers = [words_of(a) if a.strip() else last_sentence(t) for _, t, a in texts]
+        answers = [words_of(a) for _, _, a in texts]
         hasher = Hasher()
         # Pieces of HALF words, the last one moved back to be as long; a short item is one piece.
         pieces = [
@@ -258,15 +251,18 @@ class Items:
         return cls([i for i, _, _ in texts], words, answers, owner, offset, vectors, least)
 
 
-def matched(item: list[bytes], answer: list[bytes], text: list[bytes]) -> tuple[float, float]:
-    """Shares of the item and of its answer; both 0 where too few of the item's words occur at all."""
+def matched(item: list[bytes], answer: list[bytes], text: list[bytes]) -> tuple[float, float | None] | None:
+    """Shares of the item and of its answer, None for one without words; None where a share is too small."""
     there = set(text)
     if sum(w in there for w in item) < ITEM_SHARE * len(item):
-        return 0.0, 0.0
+        return None
     share = common(item, text) / len(item)
     if share < ITEM_SHARE:
-        return 0.0, 0.0
-    return share, common(answer, text) / len(answer) if answer else 1.0
+        return None
+    if not answer:
+        return share, None
+    answered = common(answer, text) / len(answer)
+    return (share, answered) if answered >= ANSWER_SHARE else None
 
 
 def near_passages(halves: Halves, items: Items, latent: Latent) -> dict[tuple[int, int], dict[int, float]]:
@@ -298,7 +294,8 @@ def mark(
 ) -> DataFrame:
     """``docs`` with the benchmark items of each whole text in ``out``: item, shares, best cosine.
 
-    Items with null or no words match nothing, null and empty texts hold none; repeated items are
+    Without a column ``answer``, or where it holds no words, the item's own share decides alone and the answer's is
+    null. Items with null or no words match nothing, null and empty texts hold none; repeated items are
     reported each. Items are broadcast in blocks of at most ``BLOCK_ITEMS`` rows, one pass over ``docs``
     for each block. A column named ``out`` is replaced.
     """
@@ -328,12 +325,14 @@ def mark(
                 made: list[list[dict]] = [[] for _ in words]
                 if len(halves.tokens) and len(items.least):
                     for (i, j), hits in sorted(near_passages(halves, items, latent).items()):
-                        best = (0.0, 0.0, 0.0)
+                        best = None
                         for at, cosine in hits.items():
                             size = len(items.words[j])
                             around = words[i][max(0, at - HALF - size // 4) : at + size + 2 * HALF + size // 4]
-                            best = max(best, (*matched(items.words[j], items.answers[j], around), cosine))
-                        if best[0] >= ITEM_SHARE and best[1] >= ANSWER_SHARE:
+                            shares = matched(items.words[j], items.answers[j], around)
+                            if shares and (best is None or (*shares, cosine) > best):
+                                best = (*shares, cosine)
+                        if best:
                             made[i].append(dict(zip(("item", "item_share", "answer_share", "cosine"), (items.ids[j], *best))))
                 return [pa.array(made, item_type)]
 
