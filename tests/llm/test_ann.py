@@ -61,3 +61,35 @@ def test_awkward_vectors(spark):
     assert got[0] == [(100, 0.0), (1, 1.0)] and got[100] == [(0, 0.0), (1, 1.0)] and set(got) == {0, 100}
     assert found(table.limit(0)) == {} and found(table.filter("vec_id = 2")) == {}
     assert found(table.filter("vec_id = 100")) == {}
+
+
+def nearest_ids(rows, count):
+    """As ``plain``, for rows that repeat ids: each id at its nearest."""
+    made = {}
+    for i, v in rows:
+        if i % 100 == 0:
+            best = {}
+            for j, w in rows:
+                if j != i:
+                    best[j] = min(best.get(j, np.inf), float(np.sqrt(((np.array(w) - np.array(v)) ** 2).sum())))
+            made[i] = sorted(best.items(), key=lambda x: (x[1], x[0]))[:count]
+    return made
+
+
+def test_rows_repeated_many_times(spark):
+    rng = np.random.default_rng(4)
+    v = rng.standard_normal(8)
+    others = [(i, (v + 0.01 * rng.standard_normal(8)).tolist()) for i in range(20, 60)]
+    rows = [(0, v.tolist())] * 30 + [(6, v.tolist()), (100, v.tolist()), *others]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got, want = found(table.repartition(3)), nearest_ids(dict(rows).items(), 10)
+    assert got[0][:2] == [(6, 0.0), (100, 0.0)] and got[100][:2] == [(0, 0.0), (6, 0.0)]
+    assert {q: [i for i, _ in x] for q, x in got.items()} == {q: [i for i, _ in x] for q, x in want.items()}
+
+
+def test_one_id_with_many_near_vectors():
+    nearest = ann.Nearest(3)
+    nearest.add(0, np.array([7] * 40 + [8, 9, 5]), np.array([*np.linspace(2, 1, 40), 3.0, 4.0, 5.0]))
+    assert [x.tolist() for x in nearest.held[0]] == [[7, 8, 9], [1.0, 3.0, 4.0]]
+    nearest.add(0, np.array([8, 5, 5]), np.array([0.5, 2.0, 1.0]))
+    assert [x.tolist() for x in nearest.held[0]] == [[8, 5, 7], [0.5, 1.0, 1.0]]

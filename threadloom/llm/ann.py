@@ -119,14 +119,18 @@ class Nearest:
         if query in self.held:
             old = self.held[query]
             ids, distances = np.concatenate([old[0], ids]), np.concatenate([old[1], distances])
-            ids, first = np.unique(ids, return_index=True)
-            distances = distances[first]
-        if len(ids) > self.count:
-            edge = np.partition(distances, self.count - 1)[self.count - 1]
-            close = np.flatnonzero(distances <= edge)
-            close = close[np.lexsort((ids[close], distances[close]))][: self.count]
-            ids, distances = ids[close], distances[close]
-        self.held[query] = ids, distances
+        # Held rows may come again: where no id repeats within the new ones, so many hold enough ids.
+        size = 2 * self.count
+        while True:
+            close = np.arange(len(ids))
+            if len(ids) > size:
+                close = np.flatnonzero(distances <= np.partition(distances, size - 1)[size - 1])
+            close = close[np.lexsort((ids[close], distances[close]))]
+            first = np.sort(np.unique(ids[close], return_index=True)[1])[: self.count]
+            if len(first) == self.count or len(close) == len(ids):
+                break
+            size *= 4
+        self.held[query] = ids[close[first]], distances[close[first]]
 
     def batch(self) -> pa.RecordBatch:
         queries = np.repeat(np.fromiter(self.held, np.int64, len(self.held)), [len(i) for i, _ in self.held.values()])
@@ -226,7 +230,9 @@ def neighbours(
 
     same = Window.partitionBy("same").orderBy("id")
     indexed = (
-        rows.select("id", "vector", F.xxhash64("vector").alias("same"))
+        rows.select("id", "vector")
+        .distinct()
+        .withColumn("same", F.xxhash64("vector"))
         .withColumn("place", F.row_number().over(same))
         .filter(F.col("place") <= count + 1)
         .select("id", "vector")
