@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from test_sites import AS_OF, TIEBA_LIST, pages_of, run_listing, seeds_of
 
 from threadloom import profiles
-from threadloom.functions.markup import Tag, direct_texts, first, regions, text_in
+from threadloom.functions.markup import Tag, direct_texts, every, first, regions, text_in
 from threadloom.operators.validate import accepted
 from threadloom.plans.content import content_job
 from threadloom.plans.listing import listing_job
@@ -36,6 +36,35 @@ def test_first_text_node(spark, html, text):
     assert value(spark, html, lambda c: first(c, text_in(Tag("a", ("x",))))) == text
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ('<a class="x" href=x><span><i></i></span>Title</a>', "Title"),
+        ('<a class="x"><svg><path/></svg>Title</a><a class="x">Later</a>', "Title"),
+        ('<a class="x"><span>1<span>2<b>3</b></span></span>T&amp;t<i>!</i>end</a>', "T&t"),
+        ('<a class="x"><span><i></i></span></a>between<a class="x"><b><i></i></b>Second</a>', "Second"),
+        ('<p>a<a class="x"><b>c</a>d</p><a class="x"></i>Title</a>', "Title"),
+        ('<a class="x"><!-- n --><b>c</b>Title</a>', "Title"),
+        ('<a class="x"><a class="x"><b></b>in</a>out</a>', "in"),
+        ('<a class="x"><b><i>no</i></b></a>outside', None),
+        ("none", None),
+    ],
+)
+def test_first_text_node_behind_nested_elements(spark, html, text):
+    assert value(spark, html, lambda c: first(c, text_in(Tag("a", ("x",))))) == text
+
+
+@pytest.mark.parametrize("strict, text", [(True, "in"), (False, "early")])
+def test_first_text_node_at_the_end_of_a_path(spark, strict, text):
+    html = '<a>none</a><p class="t"><i></i></p><a><b><i></i></b>early</a><p class="t"><a><b><i></i></b></a><a>in</a></p>'
+    assert value(spark, html, lambda c: first(c, text_in(Tag("p", ("t",)), Tag("a"), strict=strict))) == text
+
+
+def test_every_text_node_of_all_elements(spark):
+    html = '<span class="t"><b><i>x</i></b>1楼<br>2024</span><span>no</span><span class="t">end</span>'
+    assert value(spark, html, lambda c: every(c, text_in(Tag("span", ("t",))))) == ["1楼", "2024", "end"]
+
+
 @pytest.mark.parametrize(
     "tag, html, want",
     [
@@ -70,6 +99,12 @@ def test_icon_in_a_title_keeps_the_thread(spark):
     assert [r.thread_title for r in got.threads.collect()] == ["交通事故"]
 
 
+def test_nested_icon_in_a_title_keeps_the_thread(spark):
+    page = TIEBA_LIST.replace("交通事故", '<span><i class="icon"></i></span>交通事故')
+    got = run_listing(spark, profiles.TIEBA, ["事故"], page)
+    assert [r.thread_title for r in got.threads.collect()] == ["交通事故"]
+
+
 def test_list_inside_an_item_is_no_thread(spark):
     page = (
         '<ul class="post-list"><li><ul><li>tag</li></ul><p class="post-title"><a href="/1">违章</a></p></li></ul>'

@@ -17,6 +17,8 @@ from threadloom.functions.entities import decode_entities
 
 # Elements that have no end tag.
 VOID = "area|base|br|col|embed|hr|img|input|link|meta|param|source|track|wbr"
+# Elements without content end a text but open nothing.
+_EMPTY = rf"(?i)^<(?:(?:{VOID})[\s>/]|[^>]*/>)"
 
 
 @dataclass(frozen=True)
@@ -37,17 +39,20 @@ class Tag:
         return rf"<(?i:{self.name})(?=[\s>/]){tokens}{ident}[^>]*>"
 
 
-# Elements in front of the first text of an element: empty ones, and such without elements inside.
-_LEADING = rf"(?:<(?i:{VOID})(?=[\s>/])[^>]*>|<(?!/|(?i:{VOID})[\s>/])[a-zA-Z][^>]*>[^<]*</[a-zA-Z][^>]*>)*"
+@dataclass(frozen=True)
+class OwnText:
+    """Text nodes that are children of the last tag of ``path``, wherever other elements stand before them."""
+
+    path: tuple[Tag, ...]
+    strict: bool = False
 
 
-def text_in(*path: Tag, strict: bool = False) -> str:
-    """Pattern of the first text node that is a child of the last tag of ``path``.
+def text_in(*path: Tag, strict: bool = False) -> OwnText:
+    """Text nodes that are children of the last tag of ``path``.
 
-    Icons and labels in front of the text are passed over. With ``strict`` each step must come
-    before the end tag of the step above it.
+    With ``strict`` each step must come before the end tag of the step above it.
     """
-    return _steps(path, strict) + _LEADING + "([^<]+)"
+    return OwnText(path, strict)
 
 
 def attr_in(attr: str, *path: Tag, strict: bool = False) -> str:
@@ -63,22 +68,77 @@ def _steps(path: tuple[Tag, ...], strict: bool) -> str:
     return out
 
 
-def firsts(c: Column, *patterns: str | None) -> Column:
-    """First match of each one-group pattern with entities decoded, as an array.
+def firsts(c: Column, *fields: str | OwnText | None) -> Column:
+    """First match of each one-group pattern or text node, with entities decoded, as an array.
 
-    A pattern that is absent, or matches nothing or an empty text, gives null.
+    A field that is absent, or finds nothing or an empty text, gives null.
     """
-    found = [F.regexp_extract(c, p, 1) if p else F.lit("") for p in patterns]
+    found = [_first_text(c, f) if isinstance(f, OwnText) else F.regexp_extract(c, f, 1) if f else F.lit("") for f in fields]
     return F.transform(F.array(*found), lambda x: F.when(x != "", decode_entities(x)))
 
 
-def first(c: Column, pattern: str) -> Column:
-    return F.element_at(firsts(c, pattern), 1)
+def first(c: Column, field: str | OwnText) -> Column:
+    return F.element_at(firsts(c, field), 1)
+
+
+def every(c: Column, field: str | OwnText) -> Column:
+    """All matches of a one-group pattern, or all text nodes, in document order, entities decoded."""
+    found = _own_texts(c, field) if isinstance(field, OwnText) else F.regexp_extract_all(c, F.lit(field), F.lit(1))
+    return F.transform(found, lambda x: decode_entities(x))
+
+
+def _first_text(c: Column, field: OwnText) -> Column:
+    """The first of ``_own_texts``; without a fold where it follows the first start tag at once."""
+    at_once = F.regexp_extract(c, rf"(?s)^(?>.*?{_steps(field.path, field.strict)[4:]})([^<]*)(?=</?[a-zA-Z]|$)", 1)
+    return let(at_once, lambda x: F.when(x != "", x).otherwise(F.try_element_at(_own_texts(c, field, 1), F.lit(1))))
+
+
+def _own_texts(c: Column, field: OwnText, most: int | None = None) -> Column:
+    """Text nodes that are children of elements ``field`` names, in document order, at most ``most``.
 
+    One fold over the tags with the elements open inside such an element, the innermost first. An end
+    tag closes the innermost element of its name and all inside it; one without such an element is passed over.
+    """
+    *above, last = field.path
+    none = F.array().cast("array<struct<name:string,own:boolean>>")
 
-def every(c: Column, pattern: str) -> Column:
-    """All matches of a one-group pattern, in document order, entities decoded."""
-    return F.transform(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), lambda x: decode_entities(x))
+    def state(inside: list[Column], opened: Column, out: Column) -> Column:
+        return F.struct(*(x.alias(f"in{i}") for i, x in enumerate(inside)), opened.alias("opened"), out.alias("out"))
+
+    def step(acc: Column, tok: Column) -> Column:
+        ends = tok.startswith("</")
+        inside, on = [], F.lit(True)
+        for i, tag in enumerate(above):
+            was = acc[f"in{i}"]
+            left = tok.rlike(rf"^</{tag.name}[\s>]") if field.strict else F.lit(False)
+            inside.append(F.when(left, False).otherwise(was | (on & tok.rlike("^" + tag.pattern))))
+            on = was
+        own = on & tok.rlike("^" + last.pattern)
+
+        def after(name: Column) -> Column:
+            at = F.array_position(F.transform(acc["opened"], lambda x: x["name"]), name)
+            closed = F.when(at > 0, F.slice(acc["opened"], at.cast("int") + 1, F.lit(1 << 30))).otherwise(acc["opened"])
+            begun = F.concat(F.array(F.struct(name.alias("name"), own.alias("own"))), acc["opened"])
+            return (
+                F.when(ends, closed)
+                .when(tok.rlike(_EMPTY) | ((F.size(acc["opened"]) == 0) & ~own), acc["opened"])
+                .otherwise(begun)
+            )
+
+        def moved(opened: Column) -> Column:
+            text = F.substring(tok, F.instr(tok, ">") + 1, F.length(tok))
+            hit = F.coalesce(F.try_element_at(opened, F.lit(1))["own"], F.lit(False)) & (text != "")
+            return state(inside, opened, F.when(hit, F.array_append(acc["out"], text)).otherwise(acc["out"]))
+
+        name = F.lower(F.regexp_extract(tok, r"^</?([^\s>/]+)", 1))
+        # Outside of such elements end tags matter to ``inside`` only.
+        made = F.when(ends & (F.size(acc["opened"]) == 0), state(inside, acc["opened"], acc["out"])).otherwise(
+            let(let(name, after), moved)
+        )
+        return F.when(F.size(acc["out"]) >= most, acc).otherwise(made) if most else made
+
+    begin = state([F.lit(False) for _ in above], none, F.array().cast("array<string>"))
+    return F.aggregate(_cut(without_hidden(c), "</?[a-zA-Z]"), begin, step, lambda acc: acc["out"])
 
 
 # Stands in front of each tag of interest while a text is cut, and is taken out of the text
@@ -197,11 +257,8 @@ def direct_texts(region: Column) -> Column:
 
     The region comes out of a page without comments.
     """
-    # Elements without content end a text but leave the depth as it is.
-    empty = rf"(?i)^<(?:(?:{VOID})[\s>/]|[^>]*/>)"
-
     def change(tok: Column) -> Column:
-        return F.when(tok.startswith("</"), -1).when(tok.rlike(empty), 0).otherwise(1)
+        return F.when(tok.startswith("</"), -1).when(tok.rlike(_EMPTY), 0).otherwise(1)
 
     def texts(tokens: Column) -> Column:
         def at_top(changes: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from threadloom.functions.markup import (
+    OwnText,
     Tag,
     attr_in,
     direct_texts,
@@ -30,9 +31,9 @@ class Listing:
     link without one, not only before those that begin with a slash."""
 
     records: Records
-    title: str
+    title: str | OwnText
     link: str
-    date: str
+    date: str | OwnText
     dates: str
     keyword_on: str = "thread_title"
     start_date: str = "2020-07-01"
@@ -50,11 +51,11 @@ class PostPart:
     missing ``position`` the ordinal from ``first_position``; ``tail`` yields both instead."""
 
     records: Records
-    author: str
+    author: str | OwnText
     text: Callable[[Column], Column]
-    date: str | None = None
-    position: str | None = None
-    tail: str | None = None
+    date: str | OwnText | None = None
+    position: str | OwnText | None = None
+    tail: str | OwnText | None = None
     first_position: int = 1
 
 
