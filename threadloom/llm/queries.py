@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import ann, bpe, decontaminate, language, quality, secret_scan, simhash, suffix_dedup, warc, wordpiece
+from threadloom.llm import ann, bpe, decontaminate, language, quality, secret_scan, simhash, substring_dedup, suffix_dedup, warc, wordpiece
 from threadloom.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,3 +143,46 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+WINDOW_WORDS = 35
+
+
+@query(
+    "op13_substring_dedup",
+    f"""
+    WITH split AS (
+        SELECT row_number() OVER () AS r, doc_id,
+               regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+        FROM documents
+    ), windows AS (
+        SELECT r, unnest(range(1, len(words) - {WINDOW_WORDS - 2})) AS i, words FROM split
+    ), named AS (
+        SELECT r, i, sha256(array_to_string(words[i : i + {WINDOW_WORDS - 1}], ' ')) AS w FROM windows
+    ), again AS (
+        SELECT r, i FROM named WHERE w IN (SELECT w FROM named GROUP BY w HAVING count(*) > 1)
+    ), word AS (
+        SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM split
+    ), marked AS (
+        SELECT r, word, i, coalesce(max(CASE WHEN again.i IS NOT NULL THEN i END) OVER (
+                   PARTITION BY r ORDER BY i ROWS BETWEEN {WINDOW_WORDS - 1} PRECEDING AND CURRENT ROW) > 0, false) AS gone
+        FROM word LEFT JOIN again USING (r, i)
+    ), made AS (
+        SELECT r, count(*) FILTER (gone) AS n_removed,
+               string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+        FROM marked GROUP BY r
+    )
+    SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+           sha256(coalesce(kept, '')) AS kept_sha256
+    FROM split LEFT JOIN made USING (r)
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"), WINDOW_WORDS)
+    length = lambda s: (s["end"] - s["start"]).cast("long")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + length(s)).alias("n_removed"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
