@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import ann, bpe, decontaminate, language, quality, secret_scan, simhash, substring_dedup, suffix_dedup, warc, wordpiece
+from threadloom.llm import (
+    ann,
+    bpe,
+    decontaminate,
+    language,
+    lloyd,
+    prefix_trie,
+    quality,
+    secret_scan,
+    simhash,
+    substring_dedup,
+    suffix_dedup,
+    warc,
+    wordpiece,
+)
 from threadloom.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -186,3 +200,116 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + length(s)).alias("n_removed"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+#: Unsigned CRC-32 of an id's decimal digits, bit by bit.
+_CRC = """xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+@query(
+    "op12_prefix_trie",
+    f"""
+    WITH turns AS (
+        SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(
+                   length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS i
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), convs AS (
+        SELECT c, c - c % {prefix_trie.GROUP} AS b, CAST({_CRC} % {prefix_trie.MOST_SHARED + 1} AS BIGINT) AS h
+        FROM (SELECT DISTINCT c FROM turns)
+    ), built AS (
+        SELECT convs.c, 0 AS part, i, role, text FROM convs JOIN turns ON turns.c = b AND i < h
+        UNION ALL
+        SELECT convs.c, 1, i, role, text FROM convs JOIN turns ON turns.c = convs.c AND i >= h
+    ), numbered AS (
+        SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, i) AS d, length(text) AS chars,
+               sha256(length(role) || ':' || role || text) AS turn
+        FROM built
+    ), named AS (
+        SELECT c, d, chars, string_agg(turn, '') OVER (PARTITION BY c ORDER BY d) AS path FROM numbered
+        UNION ALL
+        SELECT c, 0, 0, '' FROM convs
+    ), prefix AS (
+        SELECT c, d, chars, path, lead(d) OVER (PARTITION BY c ORDER BY d) IS NULL AS last FROM named
+    ), node AS (
+        SELECT path, any_value(d) AS d, any_value(chars) AS chars, min(c) AS c, count(*) AS n,
+               sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (last), '')) AS ends
+        FROM prefix GROUP BY path
+    ), child AS (
+        SELECT left(path, -64) AS path, count(*) AS n FROM node WHERE d > 0 GROUP BY 1
+    ), sums AS (
+        -- A node lies below all shorter prefixes of its smallest member.
+        SELECT prefix.path, sum((child.n IS NULL)::BIGINT) AS leaves, sum((node.n - 1) * node.chars) AS saved
+        FROM node LEFT JOIN child USING (path) JOIN prefix ON prefix.c = node.c AND prefix.d <= node.d
+        GROUP BY prefix.path
+    )
+    SELECT node.c AS conv_id, CAST(node.d AS BIGINT) AS depth, above.c AS parent_conv_id, node.n AS n_convs,
+           CAST(coalesce(child.n, 0) AS BIGINT) AS n_children, CAST(leaves AS BIGINT) AS n_leaves,
+           CAST(saved AS BIGINT) AS saved_tokens, node.ends AS ends_sha256
+    FROM node JOIN sums USING (path) LEFT JOIN child USING (path)
+    LEFT JOIN node above ON node.d > 0 AND above.path = left(node.path, -64)
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+CODE_PARTS, CODE_ENTRIES, CODE_ROUNDS = 4, 256, 4
+
+
+def lloyd_oracle() -> str:
+    """Every round in full: all entries against all parts."""
+
+    def assign(k: int) -> str:
+        return f"""
+    a{k} AS (
+        SELECT r, p, x, min(list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c)
+                            + e / {CODE_ENTRIES}.0) AS best
+        FROM part JOIN c{k} USING (p) GROUP BY r, p, x
+    )"""
+
+    def update(k: int) -> str:
+        return f"""
+    m{k + 1} AS (
+        SELECT p, e, i, floor(sum(v) / count(*)) AS v
+        FROM (SELECT p, CAST((best - floor(best)) * {CODE_ENTRIES} AS BIGINT) AS e, unnest(x) AS v,
+                     unnest(range(1, len(x) + 1)) AS i FROM a{k})
+        GROUP BY p, e, i
+    ), c{k + 1} AS (
+        SELECT p, e, coalesce(new.c, old.c) AS c FROM c{k} old
+        LEFT JOIN (SELECT p, e, list(v ORDER BY i) AS c FROM m{k + 1} GROUP BY p, e) new USING (p, e)
+    )"""
+
+    rounds = ",".join(assign(k) + "," + update(k) for k in range(CODE_ROUNDS))
+    return f"""
+    WITH kept AS (
+        SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), numbered AS (
+        SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS r, len(v) // {CODE_PARTS} AS d FROM kept
+    ), part AS (
+        SELECT r, p, v[p * d + 1 : p * d + d] AS x FROM numbered, range({CODE_PARTS}) t(p)
+    ), c0 AS (
+        SELECT p, r AS e, x AS c FROM part WHERE r < {CODE_ENTRIES}
+    ), {rounds}, {assign(CODE_ROUNDS)}, books AS (
+        SELECT sha256(string_agg(CAST(CAST(v AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, i)) AS codebooks_sha256
+        FROM (SELECT p, e, unnest(c) AS v, unnest(range(len(c))) AS i FROM c{CODE_ROUNDS})
+    ), coded AS (
+        SELECT r, string_agg(format('{{:02x}}', CAST((best - floor(best)) * {CODE_ENTRIES} AS BIGINT)), '' ORDER BY p) AS code,
+               CAST(sum(floor(best)) AS BIGINT) AS error
+        FROM a{CODE_ROUNDS} GROUP BY r
+    )
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+    FROM numbered JOIN coded USING (r), books
+    """
+
+
+@query("op11_vector_codes", lloyd_oracle())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    coded = lloyd.compress(vectors, CODE_PARTS, CODE_ENTRIES, CODE_ROUNDS)
+    with_sums = lloyd.with_group_error(coded, "label", "label_error")
+    return with_sums.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
