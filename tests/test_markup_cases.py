@@ -93,6 +93,32 @@ def test_many_text_nodes_take_linear_time(spark):
     assert time.perf_counter() - start < 30
 
 
+@pytest.mark.parametrize("tag, record", [(Tag("div"), "<div>a<div>b</div></div>"), (Tag("li"), "<li>a<li>b</li>")])
+def test_many_elements_take_linear_time(spark, tag, record):
+    # The first call plans and warms up.
+    for count in (100, 40_000):
+        start = time.perf_counter()
+        found = value(spark, record * count, lambda c: regions(c, tag))
+        assert len(found) == (1 if tag.name == "div" else 2) * count
+    assert time.perf_counter() - start < 12
+
+
+def test_many_texts_of_elements_take_linear_time(spark):
+    for count in (100, 20_000):
+        start = time.perf_counter()
+        found = value(spark, '<span class="t"><b>x</b>text</span>' * count, lambda c: every(c, text_in(Tag("span", ("t",)))))
+        assert found == ["text"] * count
+    assert time.perf_counter() - start < 12
+
+
+@pytest.mark.parametrize("count", [1, 511, 512, 1023, 1024, 1025, 2500])
+def test_elements_across_runs(spark, count):
+    html = "<div>" + "<div>x</div>" * count + "</div>" + "<div>y</div>" * count
+    assert value(spark, html, lambda c: regions(c, Tag("div"))) == ["<div>" + "<div>x</div>" * count + "</div>"] + ["<div>y</div>"] * count
+    page = '<span class="t">' + "a<br>" * count + "</span>"
+    assert value(spark, page, lambda c: every(c, text_in(Tag("span", ("t",))))) == ["a"] * count
+
+
 def test_icon_in_a_title_keeps_the_thread(spark):
     page = TIEBA_LIST.replace("交通事故", '<i class="icon"></i>交通事故')
     got = run_listing(spark, profiles.TIEBA, ["事故"], page)

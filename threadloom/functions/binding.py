@@ -29,6 +29,18 @@ def _sums_before(numbers: Column) -> Column:
     )
 
 
+def runs(xs: Column, size: int = RUN) -> Column:
+    """An array in pieces of ``size`` elements, which are fetched by place: ``slice`` walks the array once a piece."""
+
+    def pieces(xs: Column) -> Column:
+        last = F.size(xs) - 1
+        starts = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(size))).otherwise(F.array().cast("array<int>"))
+        places = lambda start: F.sequence(start, F.least(start + (size - 1), last))
+        return F.transform(starts, lambda start: F.transform(places(start), lambda i: F.get(xs, i)))
+
+    return let(xs, pieces)
+
+
 def sums_before(numbers: Column) -> Column:
     """For each element of an int array the sum of those before it.
 
@@ -36,15 +48,11 @@ def sums_before(numbers: Column) -> Column:
     sums of the runs, then inside each run.
     """
 
-    def by_runs(xs: Column) -> Column:
-        runs = F.transform(
-            F.sequence(F.lit(0), F.floor((F.greatest(F.size(xs), F.lit(1)) - 1) / RUN).cast("int")),
-            lambda i: F.slice(xs, i * RUN + 1, F.lit(RUN)),
-        )
-        whole = F.transform(runs, lambda r: F.aggregate(r, F.lit(0), lambda a, x: a + x))
+    def by_runs(parts: Column) -> Column:
+        whole = F.transform(parts, lambda r: F.aggregate(r, F.lit(0), lambda a, x: a + x))
         placed = F.zip_with(
-            runs, _sums_before(whole), lambda r, base: F.transform(_sums_before(r), lambda x: base + x)
+            parts, _sums_before(whole), lambda r, base: F.transform(_sums_before(r), lambda x: base + x)
         )
         return F.flatten(placed)
 
-    return let(numbers, by_runs)
+    return let(runs(numbers), by_runs)

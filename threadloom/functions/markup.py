@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from threadloom.functions.binding import let, sums_before
+from threadloom.functions.binding import let, runs, sums_before
 from threadloom.functions.entities import decode_entities
 
 # Elements that have no end tag.
@@ -98,6 +98,7 @@ def _own_texts(c: Column, field: OwnText, most: int | None = None) -> Column:
 
     One fold over the tags with the elements open inside such an element, the innermost first. An end
     tag closes the innermost element of its name and all inside it; one without such an element is passed over.
+    Tags are folded in runs, so that texts are added to the short list of a run only.
     """
     *above, last = field.path
     none = F.array().cast("array<struct<name:string,own:boolean>>")
@@ -137,9 +138,28 @@ def _own_texts(c: Column, field: OwnText, most: int | None = None) -> Column:
         )
         return F.when(F.size(acc["out"]) >= most, acc).otherwise(made) if most else made
 
-    begin = state([F.lit(False) for _ in above], none, F.array().cast("array<string>"))
-    return F.aggregate(_cut(without_hidden(c), "</?[a-zA-Z]"), begin, step, lambda acc: acc["out"])
+    empty = F.array().cast("array<string>")
+    begin = state([F.lit(False) for _ in above], none, empty)
+    tokens = _cut(without_hidden(c), "</?[a-zA-Z]")
+    if most:
+        return F.aggregate(tokens, begin, step, lambda acc: acc["out"])
 
+    def run(acc: Column, part: Column) -> Column:
+        was = acc["now"]
+        fresh = state([was[f"in{i}"] for i in range(len(above))], was["opened"], empty)
+        return F.struct(F.aggregate(part, fresh, step).alias("now"), _with_run(acc).alias("all"))
+
+    whole = F.struct(begin.alias("now"), F.array().cast("array<array<string>>").alias("all"))
+    return F.flatten(F.aggregate(runs(tokens, _RUN), whole, run, _with_run))
+
+
+def _with_run(acc: Column) -> Column:
+    """What all runs before found, and the last one. A ``let`` here would copy it all for each run."""
+    return F.array_append(acc["all"], acc["now"]["out"])
+
+
+# Tags folded at once: their finds are copied with each find, and the finds of all runs with each run.
+_RUN = 1024
 
 # Stands in front of each tag of interest while a text is cut, and is taken out of the text
 # before. It is no character of any text, and a one-character separator spares ``split`` a
@@ -162,6 +182,7 @@ def _found(tokens: Column, tag: Tag) -> Column:
 
     One pass with a depth: that of elements of the same name inside an open one, or of lists
     inside an open list item, which also ends where the next item or the end of its list comes.
+    Tags are folded in runs, so that places are added to the short list of a run only.
     """
     lists = _LISTS.get(tag.name)
 
@@ -192,17 +213,25 @@ def _found(tokens: Column, tag: Tag) -> Column:
         )
         return F.when(first == 0, idle).otherwise(inside)
 
-    places = F.array().cast("array<struct<first:int,last:int,closed:boolean>>")
-    begin = state(F.lit(0), F.lit(0), F.lit(0), places)
-    # An element that is never closed runs to the end.
-    return F.aggregate(
-        tokens,
-        begin,
-        step,
-        lambda acc: F.when(
-            acc["first"] > 0, F.concat(acc["out"], spot(acc["first"], acc["at"], False))
-        ).otherwise(acc["out"]),
-    )
+    places = F.array().cast(_PLACES)
+
+    def run(acc: Column, part: Column) -> Column:
+        was = acc["now"]
+        now = F.aggregate(part, state(was["at"], was["first"], was["depth"], places), step)
+        return F.struct(now.alias("now"), _with_run(acc).alias("all"))
+
+    def finish(acc: Column) -> Column:
+        # An element that is never closed runs to the end.
+        now = acc["now"]
+        rest = F.when(now["first"] > 0, spot(now["first"], now["at"], False)).otherwise(places)
+        return F.concat(F.flatten(_with_run(acc)), rest)
+
+    zero = state(F.lit(0), F.lit(0), F.lit(0), places)
+    begin = F.struct(zero.alias("now"), F.array().cast(f"array<{_PLACES}>").alias("all"))
+    return F.aggregate(runs(tokens, _RUN), begin, run, finish)
+
+
+_PLACES = "array<struct<first:int,last:int,closed:boolean>>"
 
 
 def without_hidden(html: Column) -> Column:
