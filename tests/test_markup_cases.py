@@ -224,6 +224,17 @@ def test_each_page_has_its_own_now(spark):
     }
 
 
+def test_page_without_fetch_time_is_a_reject(spark):
+    item = '<li><p class="post-title"><a href="/{}">违章</a></p><div class="post-basic-info"><i class="time">{}</i></div></li>'
+    page = '<ul class="post-list">' + item.format(1, "2天前") + item.format(2, "2024/01/05 10:00:00") + "</ul>"
+    pages = pages_of(spark, profiles.AUTOHOME, page).withColumn("fetched_at", F.lit(None).cast("timestamp"))
+    got = listing_job(pages, seeds_of(spark, profiles.AUTOHOME), profiles.AUTOHOME, ["违章"])
+    assert [r.reject_reason for r in got.rejects.collect()] == ["Missing fetched_at"] * 2
+    assert got.stats.first().crawled == 2 and got.stats.first().yielded == 0
+    other = listing_job(pages, seeds_of(spark, profiles.AUTOHOME), profiles.AUTOHOME, ["other"])
+    assert [r.thread_link[-1] for r in other.rejects.collect()] == ["1"]
+
+
 def test_stored_tables_can_be_cleared(spark):
     clear(spark)
     table = stored(spark.range(3), "numbers")

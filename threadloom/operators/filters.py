@@ -39,12 +39,15 @@ def link_status(
 ) -> Column:
     """``keep``, ``skip`` or a reject reason for one listed thread.
 
-    A missing date means the keyword decides alone; a date that cannot be read is a reject.
+    A missing date means the keyword decides alone; a date that cannot be read is a reject, and so is one that
+    cannot be judged because it is not known when the page was fetched.
     """
     dated = date_text.isNotNull()
+    timeless = dated & as_of.isNull() & (ts.isNull() | target.rlike(keep))
     return (
         F.when(F.coalesce(title, F.lit("")) == "", SKIP)
         .when(F.coalesce(target, F.lit("")) == "", SKIP)
+        .when(timeless, "Missing fetched_at")
         .when(dated & ts.isNull(), "Invalid thread_date")
         .when(target.rlike(keep) & (~dated | in_date_range(ts, start, as_of)), KEEP)
         .otherwise(SKIP)

@@ -6,13 +6,16 @@ from pyspark.sql import functions as F
 
 from threadloom.plans.content import content_job
 from threadloom.plans.listing import listing_job
-from threadloom.profiles import AUTOHOME, TESLA, TIEBA
+from threadloom.profiles import ARTICLES, AUTOHOME, TESLA, TIEBA
 from threadloom.registry.base import (
     AS_OF,
     HOST_SQL,
     KEYWORD_SQL,
     KEYWORDS,
+    MARKUP_SQL,
+    PARAGRAPHS_SQL,
     absolute,
+    bare_decoded,
     decoded,
     inline,
     page_table,
@@ -32,10 +35,8 @@ def _list_pages(spark, sf_dir, site, opening, closing, item, nav_of=lambda html:
     return page_table(spark, sf_dir, site).withColumn("html", html)
 
 
-def _run(pages, profile):
-    return listing_job(pages, seed_table(pages), profile, KEYWORDS, AS_OF, reuse=False)
-
-
+def _run(pages, profile, as_of=AS_OF):
+    return listing_job(pages, seed_table(pages), profile, KEYWORDS, as_of, reuse=False)
 
 
 def _items(profile):
@@ -45,7 +46,8 @@ def _items(profile):
     rows = unnested(hrefs, f"{HOST_SQL} AS host, {titles}[i] AS raw_title")
     return f"""SELECT *, {decoded("raw_title")} AS title, {decoded("x")} AS href FROM ({rows})"""
 
-# --- autohome: relative dates, some missing, some unreadable ---
+
+# --- autohome: dates relative to the fetch of their page, some missing, some unreadable, some pages without fetch time ---
 
 
 def _autohome_pages(spark, sf_dir):
@@ -63,15 +65,18 @@ def _autohome_pages(spark, sf_dir):
         time,
         F.lit("</div></li>"),
     )
-    return _list_pages(spark, sf_dir, AUTOHOME.site, '<div><ul class="hot post-list">', "</ul></div>", item)
+    pages = _list_pages(spark, sf_dir, AUTOHOME.site, '<div><ul class="hot post-list">', "</ul></div>", item)
+    fetched = F.to_timestamp(F.lit(AS_OF)) + F.make_dt_interval(days=(n % 3).cast("int"))
+    return pages.withColumn("fetched_at", F.when(n % 11 != 10, fetched))
 
 
 _AUTOHOME = f"""SELECT *, {absolute("href", "'" + AUTOHOME.base_url + "'")} AS link,
     CASE WHEN page_no % 5 = 0 OR page_no % 7 = 0 THEN NULL
-         ELSE TIMESTAMP '{AS_OF}' - to_days(CAST(page_no * 8 % 2000 AS INTEGER)) END AS ts,
-    page_no % 5 > 0 AND page_no % 7 = 0 AS junk,
+         ELSE TIMESTAMP '{AS_OF}' + to_days(CAST(page_no % 3 - page_no * 8 % 2000 AS INTEGER)) END AS ts,
+    CASE WHEN page_no % 5 = 0 THEN NULL WHEN page_no % 11 = 10 THEN 'Missing fetched_at'
+         WHEN page_no % 7 = 0 THEN 'Invalid thread_date' END AS reason,
     regexp_matches(title, '{KEYWORD_SQL}', 'i') AND (page_no % 5 = 0 OR
-        (page_no % 7 > 0 AND page_no * 8 % 2000 <= 1310)) AS keep
+        (page_no % 7 > 0 AND page_no % 11 < 10 AND page_no * 8 % 2000 <= 1310 + page_no % 3)) AS keep
     FROM ({_items(AUTOHOME)}) WHERE title <> ''"""
 
 
@@ -82,18 +87,18 @@ _AUTOHOME = f"""SELECT *, {absolute("href", "'" + AUTOHOME.base_url + "'")} AS l
         FROM ({_AUTOHOME}) WHERE keep AND link IS NOT NULL""",
 )
 def x7_autohome(spark, sf_dir):
-    threads = _run(_autohome_pages(spark, sf_dir), AUTOHOME).threads
+    threads = _run(_autohome_pages(spark, sf_dir), AUTOHOME, None).threads
     return threads.select("page_no", "item_no", "thread_title", "thread_link", "thread_date", "forum_name")
 
 
 @query(
     "x7_autohome_rejects",
     f"""SELECT page_no, item_no, title AS thread_title,
-        CASE WHEN junk THEN 'Invalid thread_date' ELSE 'Missing thread_link' END AS reject_reason
-        FROM ({_AUTOHOME}) WHERE junk OR (keep AND link IS NULL)""",
+        coalesce(reason, 'Missing thread_link') AS reject_reason
+        FROM ({_AUTOHOME}) WHERE reason IS NOT NULL OR (keep AND link IS NULL)""",
 )
 def x7_autohome_rejects(spark, sf_dir):
-    rejected = _run(_autohome_pages(spark, sf_dir), AUTOHOME).rejects
+    rejected = _run(_autohome_pages(spark, sf_dir), AUTOHOME, None).rejects
     return rejected.select("page_no", "item_no", "thread_title", "reject_reason")
 
 
@@ -106,7 +111,7 @@ def x7_autohome_rejects(spark, sf_dir):
         LEFT JOIN ({_AUTOHOME}) i ON i.host = h.host GROUP BY h.host""",
 )
 def a1_autohome_stats(spark, sf_dir):
-    return _run(_autohome_pages(spark, sf_dir), AUTOHOME).stats.drop("site")
+    return _run(_autohome_pages(spark, sf_dir), AUTOHOME, None).stats.drop("site")
 
 
 # --- Tieba: no date filter, the date of the last reply is shown ---
@@ -179,14 +184,18 @@ def a1_tesla_stats(spark, sf_dir):
     return _run(_tesla_pages(spark, sf_dir), TESLA).stats.drop("site")
 
 
-# --- thread pages: closed, tag-free paragraphs become the posts of one thread per page ---
+# --- thread pages: all paragraphs become the posts of one thread per page ---
+
 
-_CLOSED = "<p>([^<]*)</p>"
+def _closed(x):
+    """A paragraph with the tags it leaves open closed, so that it ends where the post does."""
+    ends = lambda tag: F.repeat(F.lit(f"</{tag}>"), F.regexp_count(x, F.lit(f"<{tag}>")) - F.regexp_count(x, F.lit(f"</{tag}>")))
+    return F.concat(x, *(ends(tag) for tag in ("a", "b", "i")))
 
 
 def _thread_pages(spark, sf_dir, profile, path, posts):
     link = F.concat(F.lit(profile.base_url + path), F.col("page_no").cast("string"))
-    texts = F.regexp_extract_all("html", F.lit(_CLOSED), F.lit(1))
+    texts = F.transform(F.regexp_extract_all("html", F.lit(ARTICLES.posts[0].records.pattern), F.lit(1)), _closed)
     pages = page_table(spark, sf_dir, profile.site).withColumn("seed_url", link)
     head = F.regexp_extract("html", "(?s)^(.*?</nav>)", 1)
     return pages.withColumn("html", F.concat(head, posts(texts), F.lit("<footer>x</footer>")))
@@ -214,7 +223,7 @@ def _worklist(pages, spark, sf_dir):
     )
 
 
-_TEXTS = unnested(f"regexp_extract_all(html, '{_CLOSED}', 1)", "html")
+_TEXTS = unnested(PARAGRAPHS_SQL, "html, url")
 
 
 def _threads_sql(base, path, text, least):
@@ -223,7 +232,8 @@ def _threads_sql(base, path, text, least):
         FROM ({_TEXTS}) WHERE page_no % 6 <> 0 AND length({text}) >= {least}"""
 
 
-_TIEBA_TEXT = inline(decoded("' ' || x || 'bold '"))
+# All text of the post, tags taken out.
+_TIEBA_TEXT = inline(decoded("' ' || regexp_replace(x, '<[/!?a-zA-Z][^>]*>', '', 'g') || 'bold '"))
 
 
 @query(
@@ -246,7 +256,9 @@ def x8_tieba(spark, sf_dir):
     return content_job(pages, _worklist(pages, spark, sf_dir), TIEBA, reuse=False).posts.drop("site", "date_ts")
 
 
-_AUTOHOME_TEXT = inline(f"{stripped(decoded('x'))} || 'last&'")
+# The text of the block itself: what stands in an element of its own is left out.
+_DIRECT = "regexp_replace(x, '(?s)<b>.*$', '')"
+_AUTOHOME_TEXT = inline(f"{stripped(decoded(_DIRECT))} || 'last&'")
 
 
 @query(
@@ -288,7 +300,9 @@ def x8_autohome(spark, sf_dir):
     return content_job(pages, _worklist(pages, spark, sf_dir), AUTOHOME, reuse=False).posts.drop("site", "date_ts")
 
 
-_TESLA_TEXT = f"{stripped(decoded('x'))} || chr(10) || ' line two'"
+# One line for each text node.
+_TESLA_LINES = bare_decoded(f"regexp_replace(x || '<br><div> line two</div>', '{MARKUP_SQL}', chr(10), 'g')")
+_TESLA_TEXT = rf"regexp_replace({stripped(_TESLA_LINES)}, '\n\s*\n', chr(10), 'g')"
 
 
 @query(
@@ -296,12 +310,11 @@ _TESLA_TEXT = f"{stripped(decoded('x'))} || chr(10) || ' line two'"
     f"""SELECT page_no, item_no, 'On ' || regexp_extract(html, '<h1>([^<]*)', 1) AS thread_title,
         '{TESLA.base_url}/threads/' || page_no AS thread_link, CAST(item_no * 10 AS VARCHAR) AS author_id,
         '2024-01-15 14:00:00 UTC' AS date, '#' || item_no AS position,
-        trim({_TESLA_TEXT}, chr(10) || ' ') AS text
+        {_TESLA_TEXT} AS text
         FROM ({_TEXTS}) WHERE page_no % 6 <> 0
         UNION ALL
         SELECT page_no, item_no, NULL, url, CAST(item_no * 10 AS VARCHAR), '2024-01-15 14:00:00 UTC', '#' || item_no,
-        trim({_TESLA_TEXT}, chr(10) || ' ') FROM ({unnested(f"regexp_extract_all(html, '{_CLOSED}', 1)", "html, url")})
-        WHERE page_no % 6 = 0""",
+        {_TESLA_TEXT} FROM ({_TEXTS}) WHERE page_no % 6 = 0""",
 )
 def x8_tesla(spark, sf_dir):
     def posts(texts):
