@@ -234,13 +234,22 @@ def decode(docs: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decod
     """``docs`` with the bytes that the ids stand for in ``out`` (binary); null ids give no bytes."""
 
     def make():
-        token = {rank: piece for piece, rank in read_ranks(ranks_path).items()}.__getitem__
+        ranks = read_ranks(ranks_path)
+        pieces: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
+        for piece, rank in ranks.items():
+            pieces[rank] = piece
+        tokens = pa.array(pieces, pa.binary())
 
         def block(values: pa.Array) -> list[pa.Array]:
-            flat = values.flatten().to_pylist()
-            offsets = np.concatenate([[0], np.cumsum(values.value_lengths().fill_null(0).to_numpy(False))])
-            made = [b"".join(map(token, flat[a:b])) for a, b in zip(offsets, offsets[1:])]
-            return [pa.array(made, pa.binary())]
+            # Tokens taken one after the other lie as one run of bytes: the texts are cut from it by offsets.
+            taken = tokens.take(values.flatten())
+            if taken.null_count:
+                raise ValueError("an id is no token")
+            cuts = np.concatenate([[0], np.cumsum(values.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
+            _, starts, data = taken.buffers()
+            starts = np.frombuffer(starts, np.int32)[cuts] if len(taken) else np.zeros(len(cuts), np.int32)
+            offsets = pa.py_buffer(np.ascontiguousarray(starts, np.int32))
+            return [pa.Array.from_buffers(pa.binary(), len(values), [None, offsets, data or pa.py_buffer(b"")])]
 
         return block
 
