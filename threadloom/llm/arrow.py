@@ -44,13 +44,16 @@ def add_columns(
     make: Callable[[], Callable[[pa.Array], list[pa.Array]]],
     most: int = BLOCK_BYTES,
     keep: list[str] | None = None,
+    beside: list[str] | None = None,
 ) -> DataFrame:
     """``df`` with new columns computed from ``source``; columns of the same names are replaced.
 
     ``make`` is called once in each task and returns the function from a block of values to
-    one Arrow array for each field. ``keep`` names the columns that stay, by default all.
+    one Arrow array for each field. ``keep`` names the columns that stay, by default all. The columns
+    ``beside``, which do not stay, are further arguments of that function.
     """
-    keep = without(df, [f.name for f in fields]) if keep is None else keep
+    beside = beside or []
+    keep = without(df, [*beside, *(f.name for f in fields)]) if keep is None else keep
     schema = StructType([df.schema[c] for c in keep] + fields)
     count = len(keep)
 
@@ -58,12 +61,16 @@ def add_columns(
         function = make()
         for batch in batches:
             for block in blocks(batch, most):
-                made = function(block.column(count))
+                made = function(block.column(count + len(beside)), *block.columns[count : count + len(beside)])
                 names = [*keep, *(f.name for f in fields)]
                 yield pa.RecordBatch.from_arrays([*block.columns[:count], *made], names)
+        # A worker lives on for other stages.
+        pa.default_memory_pool().release_unused()
 
     value = F.col(quoted(source))
-    return df.select(*(F.col(quoted(c)) for c in keep), value.alias("__value")).mapInArrow(run, schema)
+    stay = (F.col(quoted(c)) for c in keep)
+    more = (F.col(quoted(c)).alias(f"__beside{i}") for i, c in enumerate(beside))
+    return df.select(*stay, *more, value.alias("__value")).mapInArrow(run, schema)
 
 
 def lists(flat: np.ndarray, lengths: np.ndarray) -> pa.ListArray:

@@ -16,10 +16,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, StructField, StructType
 
-from threadloom.llm.arrow import add_columns, raw
+from threadloom.llm.arrow import add_columns, blocks, raw, without
 from threadloom.llm.sums import summed
+from threadloom.session import stored
 
 #: Hashed words, latent dimensions, and words in half a passage; passages overlap by half.
 BUCKETS, RANK, HALF = 8192, 96, 32
@@ -30,7 +31,7 @@ ITEM_SHARE, ANSWER_SHARE = 0.7, 0.5
 #: Items searched in one pass; more items take more passes.
 BLOCK_ITEMS = 20_000
 SEED = 11
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 BLOCK = 2 << 20
 SLICE = 256
 #: ASCII letters in lower case; digits and bytes beyond ASCII stay; all else parts words.
@@ -56,6 +57,24 @@ class Hasher(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint16, len(words))
 
 
+#: Buckets of a text's words in two bytes each, as ``hashed`` adds them.
+HASHED = "__word_buckets"
+
+
+def hashed(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with its words' buckets, stored: ``fit`` and ``mark`` read them instead of splitting texts again."""
+
+    def make():
+        hasher = Hasher()
+        return lambda values: [pa.array([hasher(words_of(t)).tobytes() for t in raw(values)], pa.binary())]
+
+    return stored(add_columns(docs, text, [StructField(HASHED, BinaryType())], make, BLOCK), "words")
+
+
+def _buckets(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(v, np.uint16) for v in column.to_pylist()]
+
+
 @dataclass
 class Halves:
     """Words of a block of texts in rows of ``HALF`` words; a row never crosses texts. Bucket
@@ -119,17 +138,11 @@ def product(halves: Halves, table: np.ndarray, idf: np.ndarray, total: np.ndarra
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[Halves]:
-    hasher = Hasher()
     for batch in batches:
-        held, size = [], 0
-        for text in raw(batch.column(0)):
-            held.append(hasher(words_of(text)))
-            size += len(text)
-            if size > BLOCK:
-                yield Halves.cut(held)
-                held, size = [], 0
-        if held:
-            yield Halves.cut(held)
+        # Two bytes a word are about a third of the text.
+        for block in blocks(batch, BLOCK // 3):
+            yield Halves.cut(_buckets(block.column(0)))
+    pa.default_memory_pool().release_unused()
 
 
 def holders(texts: DataFrame) -> tuple[np.ndarray, float]:
@@ -186,9 +199,10 @@ def fit(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: st
     """The latent space of all passages of documents and benchmark, either half weighing alike.
 
     Randomised: Y = (A'A) G for a random G of ``RANK`` columns, then the Nyström form of the singular
-    value decomposition of A. Without any words the space is that of G itself.
+    value decomposition of A. Without any words the space is that of G itself. ``docs`` may come from ``hashed``.
     """
-    corpus, items = docs.select(F.col(text).alias("text")), benchmark.select(F.col(item_text).alias("text"))
+    corpus = (docs if HASHED in docs.columns else hashed(docs.select(text), text)).select(HASHED)
+    items = hashed(benchmark.select(item_text), item_text).select(HASHED)
     (held, count), (item_held, item_count) = holders(corpus), holders(items)
     idf = np.log1p((count + item_count + 1) / (held + item_held + 1))
     random = np.linalg.qr(np.random.default_rng(SEED).standard_normal((BUCKETS, RANK)))[0]
@@ -317,14 +331,15 @@ def mark(
         )
 
         def make():
-            hasher = Hasher()
-
-            def block(values: pa.Array) -> list[pa.Array]:
-                words = [words_of(t) for t in raw(values)]
-                halves = Halves.cut([hasher(w) for w in words])
-                made: list[list[dict]] = [[] for _ in words]
+            def block(values: pa.Array, buckets: pa.Array) -> list[pa.Array]:
+                halves = Halves.cut(_buckets(buckets))
+                made: list[list[dict]] = [[] for _ in range(len(values))]
+                words: dict[int, list[bytes]] = {}
                 if len(halves.tokens) and len(items.least):
                     for (i, j), hits in sorted(near_passages(halves, items, latent).items()):
+                        if i not in words:
+                            # Only texts with a candidate are split.
+                            words = {i: words_of((values[i].as_py() or "").encode())}
                         best = None
                         for at, cosine in hits.items():
                             size = len(items.words[j])
@@ -338,8 +353,10 @@ def mark(
 
             return block
 
-        return add_columns(df, text, [StructField(name, field.dataType)], make, BLOCK)
+        keep = without(df, [name, HASHED]) if part == passes - 1 else without(df, [name])
+        return add_columns(df, text, [StructField(name, field.dataType)], make, BLOCK, keep, [HASHED])
 
+    docs = docs if HASHED in docs.columns else hashed(docs, text)
     if passes == 1:
         return marked(docs, 0, out)
     names = [f"__matches{i}" for i in range(passes)]
