@@ -14,6 +14,7 @@ from threadloom.registry.base import (
     AS_OF,
     HOST_SQL,
     KEYWORDS,
+    ORACLES,
     PARAGRAPHS_SQL,
     page_table,
     query,
@@ -30,7 +31,18 @@ from threadloom.sources.readers import (
     read_worklist,
 )
 from threadloom.sources.writers import write_rows
-from threadloom.streaming.incremental import append_to, post_stream, read_page_stream, thread_stream
+from threadloom.streaming.incremental import (
+    append_to,
+    item_stream,
+    latest,
+    listing_so_far,
+    listing_to,
+    post_stream,
+    read_page_stream,
+    stats_stream,
+    thread_stream,
+    update_to,
+)
 
 STARTED = datetime(2024, 2, 1, 12, 30, 5)
 
@@ -201,3 +213,40 @@ def r1_post_stream(spark, sf_dir):
     append_to(posts, out, state).awaitTermination()
     keys = ["page_no", "item_no"]
     return _counted(spark.read.parquet(out), content_job(pages, threads, ARTICLES).checked, keys)
+
+
+def _arrivals(spark, sf_dir, start):
+    """Pages that arrive in three parts; the stream that ``start`` makes of their items ends and starts again after each."""
+    folder, state = fresh_folder(spark, "arriving"), fresh_folder(spark, "state")
+    pages = page_table(spark, sf_dir)
+    for part in range(3):
+        pages.filter(F.col("page_no") % 3 == part).write.mode("append").parquet(folder)
+        items = item_stream(read_page_stream(spark, folder), seed_table(pages), ARTICLES, KEYWORDS, AS_OF)
+        start(items, state).awaitTermination()
+
+
+@query("r1_stats", ORACLES["a1_forum_stats"])
+def r1_stats(spark, sf_dir):
+    out = fresh_folder(spark, "running-stats")
+    _arrivals(spark, sf_dir, lambda items, state: update_to(stats_stream(items), out, state))
+    return latest(spark, out, ["site", "forum_name"]).drop("site")
+
+
+@query(
+    "r1_sinks",
+    f"""SELECT 'thread' AS kind, {HOST_SQL} AS forum_name, page_no, item_no, href <> '' AS accepted, CAST(NULL AS BIGINT) AS pages
+        FROM (SELECT page_id AS page_no, url, CAST(i AS INTEGER) AS item_no, xs[i] AS title, hs[i] AS href FROM
+            (SELECT *, regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a></li>', 1) AS xs,
+                regexp_extract_all(html, '<li><a href="([^"]*)">[^<]*</a></li>', 1) AS hs FROM pages),
+            unnest(range(1, len(xs) + 1)) AS t(i))
+        WHERE regexp_matches(title, '(?:the|tion|über|q[eu])', 'i')
+        UNION ALL SELECT 'forum', {HOST_SQL}, NULL, NULL, NULL, count(*) FROM pages GROUP BY ALL""",
+)
+def r1_sinks(spark, sf_dir):
+    """Accepted and rejected threads and the pages of each forum, from one extraction of each micro-batch."""
+    root = fresh_folder(spark, "sinks")
+    _arrivals(spark, sf_dir, lambda items, state: listing_to(items, ARTICLES, root, state))
+    threads, stats = listing_so_far(spark, root)
+    rows = threads.select(F.lit("thread").alias("kind"), "forum_name", "page_no", "item_no", "accepted")
+    forums = stats.select(F.lit("forum").alias("kind"), "forum_name", "pages")
+    return rows.unionByName(forums, allowMissingColumns=True)
