@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -37,6 +39,24 @@ def blocks(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
         start = stop
 
 
+def release() -> None:
+    """Give memory back at the end of a task: the worker lives on, and other stages run in it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+#: Most bytes of an Arrow batch between the JVM and a Python task, where a run asks for small ones.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send texts to Python in batches of ``BATCH_BYTES`` at most from now on; results stay the same."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def add_columns(
     df: DataFrame,
     source: str,
@@ -64,8 +84,7 @@ def add_columns(
                 made = function(block.column(count + len(beside)), *block.columns[count : count + len(beside)])
                 names = [*keep, *(f.name for f in fields)]
                 yield pa.RecordBatch.from_arrays([*block.columns[:count], *made], names)
-        # A worker lives on for other stages.
-        pa.default_memory_pool().release_unused()
+        release()
 
     value = F.col(quoted(source))
     stay = (F.col(quoted(c)) for c in keep)

@@ -21,10 +21,10 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField
 from threadloom.llm.arrow import add_columns, lists
 
 #: Encoded pieces that a task remembers, and the longest it remembers; neither changes a result.
-CACHE_PIECES = 80_000
+CACHE_PIECES = 60_000
 CACHE_CHARS = 64
 #: Bytes of text encoded, and ids decoded, at once.
-BLOCK, BLOCK_IDS = 4 << 20, 1 << 18
+BLOCK, BLOCK_IDS = 2 << 20, 1 << 17
 SHIFT = 20
 #: Posting lists of at least this length are merged as arrays, shorter ones one by one.
 LONG_LIST = 24

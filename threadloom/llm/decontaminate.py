@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, StructField, StructType
 
-from threadloom.llm.arrow import add_columns, blocks, raw, without
+from threadloom.llm.arrow import add_columns, blocks, raw, release, without
 from threadloom.llm.sums import summed
 from threadloom.session import stored
 
@@ -142,7 +142,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[Halves]:
         # Two bytes a word are about a third of the text.
         for block in blocks(batch, BLOCK // 3):
             yield Halves.cut(_buckets(block.column(0)))
-    pa.default_memory_pool().release_unused()
+    release()
 
 
 def holders(texts: DataFrame) -> tuple[np.ndarray, float]:

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from threadloom.llm.arrow import release
+
 
 def summed(df: DataFrame, size: int, partial: Callable[[Iterator[pa.RecordBatch]], np.ndarray]) -> np.ndarray:
     """The sum of what ``partial`` makes of each task's rows, an array of ``size`` numbers.
@@ -19,6 +21,7 @@ def summed(df: DataFrame, size: int, partial: Callable[[Iterator[pa.RecordBatch]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = partial(batches)
+        release()
         slots = np.flatnonzero(made)
         for a in range(0, len(slots), 1 << 16):
             part = slots[a : a + (1 << 16)]
