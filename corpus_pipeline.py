@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.llm import bpe, decontaminate, quality, secret_scan, simhash
-from threadloom.llm.arrow import quoted
+from threadloom.llm.arrow import quoted, small_batches
 from threadloom.llm.queries import KEEP_SCORE, RANKS, SHINGLE_WORDS, SIMHASH_BITS, quality_model, table
 from threadloom.session import stored
 
@@ -21,12 +21,14 @@ def like(found: DataFrame, docs: DataFrame) -> DataFrame:
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier scores at ``KEEP_SCORE`` or more."""
+    small_batches(spark)
     model = quality_model(docs, table(spark, sf_dir, "labels"))
     return like(quality.score(docs, model, out="__score").filter(F.col("__score") >= KEEP_SCORE), docs)
 
 
 def keep_first_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of linked fingerprints."""
+    small_batches(spark)
     found = stored(simhash.near_duplicates(docs, SHINGLE_WORDS, SIMHASH_BITS).select("doc_id", "component_id"), "groups")
     # Stored, so that Spark knows the size when it chooses between broadcast and shuffle.
     dropped = stored(found.filter("doc_id <> component_id").select("doc_id").distinct(), "copies")
@@ -40,14 +42,17 @@ def keep_first_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir:
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, exact or reworded."""
+    small_batches(spark)
     benchmark = table(spark, sf_dir, "benchmark")
-    latent = decontaminate.fit(docs, benchmark)
-    found = decontaminate.mark(docs, benchmark, latent, out="__matches")
+    prepared = decontaminate.hashed(docs)
+    latent = decontaminate.fit(prepared, benchmark)
+    found = decontaminate.mark(prepared, benchmark, latent, out="__matches")
     return like(found.filter(F.size("__matches") == 0), docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each secret replaced by a mark; ``n_chars`` follows the text."""
+    small_batches(spark)
     clean = like(secret_scan.redact(secret_scan.scan(docs, out="__spans"), "__spans"), docs)
     if "n_chars" in clean.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -56,6 +61,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether they decode to the very text."""
+    small_batches(spark)
     coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), RANKS, public_tokenizers.PATTERN), RANKS)
     same = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), same.alias("round_trip"), "ids")
