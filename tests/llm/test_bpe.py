@@ -22,9 +22,10 @@ def library(ranks):
 
 
 def test_equals_the_library_and_round_trips(spark, library):
-    rows = bpe.decode(bpe.encode(edge_docs(spark), RANKS, PATTERN), RANKS).collect()
-    assert len(rows) == len(ROWS)
-    for r in rows:
+    apart = bpe.decode(bpe.encode(edge_docs(spark), RANKS, PATTERN), RANKS).collect()
+    together = bpe.encode_decode(edge_docs(spark), RANKS, PATTERN).collect()
+    assert len(apart) == len(together) == len(ROWS)
+    for r in apart + together:
         assert r.ids == library.encode_ordinary(r.text or "")
         assert bytes(r.decoded) == (r.text or "").encode()
         assert r.key == "old" and r.score == "old"
@@ -33,6 +34,8 @@ def test_equals_the_library_and_round_trips(spark, library):
 def test_empty_table(spark):
     made = bpe.decode(bpe.encode(empty_docs(spark), RANKS, PATTERN), RANKS)
     assert made.count() == 0 and {"ids", "decoded"} <= set(made.columns)
+    both = bpe.encode_decode(empty_docs(spark), RANKS, PATTERN)
+    assert both.count() == 0 and both.schema == made.schema
 
 
 def test_replay_of_many_pieces(ranks, library):

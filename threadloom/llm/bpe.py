@@ -11,7 +11,7 @@ from __future__ import annotations
 import base64
 import heapq
 from array import array
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -191,6 +191,60 @@ class _Block:
                 return
 
 
+Block = Callable[[pa.Array], pa.Array]
+
+
+def encoder(ranks: dict[bytes, int], pattern: str) -> Block:
+    """A function from a block of texts to their token ids, which remembers the pieces it has met."""
+    import regex
+
+    find = regex.compile(pattern).findall
+    replay = Replay(ranks)
+    known: dict[str, bytes] = {}
+    older: dict[str, bytes] = {}
+
+    def block(values: pa.Array) -> pa.Array:
+        nonlocal known, older
+        found = [find(t) if t else [] for t in values.to_pylist()]
+        pieces = set().union(*found)
+        if len(known) > CACHE_PIECES:
+            known, older = {}, known
+        new = pieces.difference(known)
+        again = new.intersection(older)
+        known.update((p, older[p]) for p in again)
+        new = list(new - again)
+        known.update(zip(new, (x.tobytes() for x in replay.encode([p.encode() for p in new]))))
+        parts = [b"".join(map(known.__getitem__, words)) for words in found]
+        for piece in new:
+            if len(piece) > CACHE_CHARS:
+                del known[piece]
+        lengths = np.array([len(p) // 4 for p in parts], np.int64)
+        return lists(np.frombuffer(b"".join(parts), np.int32), lengths)
+
+    return block
+
+
+def decoder(ranks: dict[bytes, int]) -> Block:
+    """A function from a block of id lists to the bytes that they stand for."""
+    pieces: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
+    for piece, rank in ranks.items():
+        pieces[rank] = piece
+    tokens = pa.array(pieces, pa.binary())
+
+    def block(values: pa.Array) -> pa.Array:
+        # Tokens taken one after the other lie as one run of bytes: the texts are cut from it by offsets.
+        taken = tokens.take(values.flatten())
+        if taken.null_count:
+            raise ValueError("an id is no token")
+        cuts = np.concatenate([[0], np.cumsum(values.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
+        _, starts, data = taken.buffers()
+        starts = np.frombuffer(starts, np.int32)[cuts] if len(taken) else np.zeros(len(cuts), np.int32)
+        offsets = pa.py_buffer(np.ascontiguousarray(starts, np.int32))
+        return pa.Array.from_buffers(pa.binary(), len(values), [None, offsets, data or pa.py_buffer(b"")])
+
+    return block
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with the token ids of each whole text in ``ids`` (array of int).
 
@@ -200,32 +254,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", i
     """
 
     def make():
-        import regex
-
-        find = regex.compile(pattern).findall
-        replay = Replay(read_ranks(ranks_path))
-        known: dict[str, bytes] = {}
-        older: dict[str, bytes] = {}
-
-        def block(values: pa.Array) -> list[pa.Array]:
-            nonlocal known, older
-            found = [find(t) if t else [] for t in values.to_pylist()]
-            pieces = set().union(*found)
-            if len(known) > CACHE_PIECES:
-                known, older = {}, known
-            new = pieces.difference(known)
-            again = new.intersection(older)
-            known.update((p, older[p]) for p in again)
-            new = list(new - again)
-            known.update(zip(new, (x.tobytes() for x in replay.encode([p.encode() for p in new]))))
-            parts = [b"".join(map(known.__getitem__, words)) for words in found]
-            for piece in new:
-                if len(piece) > CACHE_CHARS:
-                    del known[piece]
-            lengths = np.array([len(p) // 4 for p in parts], np.int64)
-            return [lists(np.frombuffer(b"".join(parts), np.int32), lengths)]
-
-        return block
+        block = encoder(read_ranks(ranks_path), pattern)
+        return lambda values: [block(values)]
 
     return add_columns(docs, text, [StructField(ids, ArrayType(IntegerType(), True))], make, BLOCK)
 
@@ -234,23 +264,30 @@ def decode(docs: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decod
     """``docs`` with the bytes that the ids stand for in ``out`` (binary); null ids give no bytes."""
 
     def make():
-        ranks = read_ranks(ranks_path)
-        pieces: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
-        for piece, rank in ranks.items():
-            pieces[rank] = piece
-        tokens = pa.array(pieces, pa.binary())
-
-        def block(values: pa.Array) -> list[pa.Array]:
-            # Tokens taken one after the other lie as one run of bytes: the texts are cut from it by offsets.
-            taken = tokens.take(values.flatten())
-            if taken.null_count:
-                raise ValueError("an id is no token")
-            cuts = np.concatenate([[0], np.cumsum(values.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
-            _, starts, data = taken.buffers()
-            starts = np.frombuffer(starts, np.int32)[cuts] if len(taken) else np.zeros(len(cuts), np.int32)
-            offsets = pa.py_buffer(np.ascontiguousarray(starts, np.int32))
-            return [pa.Array.from_buffers(pa.binary(), len(values), [None, offsets, data or pa.py_buffer(b"")])]
-
-        return block
+        block = decoder(read_ranks(ranks_path))
+        return lambda values: [block(values)]
 
     return add_columns(docs, ids, [StructField(out, BinaryType())], make, BLOCK_IDS)
+
+
+def encode_decode(
+    docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "ids", out: str = "decoded"
+) -> DataFrame:
+    """``docs`` with the columns of ``encode`` and ``decode``, both made in one task.
+
+    One Python process a task holds one rank table, where the two calls in a row take two of each
+    and send the ids there and back.
+    """
+
+    def make():
+        ranks = read_ranks(ranks_path)
+        forth, back = encoder(ranks, pattern), decoder(ranks)
+
+        def both(values: pa.Array) -> list[pa.Array]:
+            made = forth(values)
+            return [made, back(made)]
+
+        return both
+
+    fields = [StructField(ids, ArrayType(IntegerType(), True)), StructField(out, BinaryType())]
+    return add_columns(docs, text, fields, make, BLOCK)

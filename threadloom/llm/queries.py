@@ -56,7 +56,7 @@ def remainder(doc_id: str, by: int) -> Column:
 @query("op1_bpe")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs, RANKS, public_tokenizers.PATTERN), RANKS)
+    coded = bpe.encode_decode(docs, RANKS, public_tokenizers.PATTERN)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
