@@ -62,7 +62,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether they decode to the very text."""
     small_batches(spark)
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), RANKS, public_tokenizers.PATTERN), RANKS)
+    coded = bpe.encode_decode(docs.select("doc_id", "text"), RANKS, public_tokenizers.PATTERN)
     same = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), same.alias("round_trip"), "ids")
 
