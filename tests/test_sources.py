@@ -1,8 +1,11 @@
 """Readers and writers on files in fresh folders."""
 
 import codecs
+import csv
+import io
 import json
 import os
+import random
 from datetime import datetime
 
 import pytest
@@ -66,6 +69,65 @@ def test_worklist_charsets_headers_and_quoting(spark, tmp_path):
     assert sum(r.thread_title is None for r in rows) == 4
 
 
+@pytest.fixture
+def small_splits(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    yield lambda size: spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def _csv(rows, newline="\n"):
+    out = io.StringIO()
+    csv.writer(out, lineterminator=newline).writerows(rows)
+    return out.getvalue()
+
+
+def test_worklist_rows_meet_across_every_seam(spark, tmp_path, small_splits):
+    """One file cut at each of its bytes: breaks, quotes and commas inside quotes on both sides of a seam."""
+    rows = [("a\n\nb", "l1", "x"), ('"', "l2", ""), ('\n"\n', "l3", ",\n"), ("违", "l4", "2天前"), ("", "l5", '""\n"')]
+    names = ("post_title", "post_link", "post_date")
+    (tmp_path / "one.csv").write_bytes(_csv([names, *rows]).encode("utf-8"))
+    want = [tuple(v or None for v in r) for r in rows]
+    size = (tmp_path / "one.csv").stat().st_size
+    for cut in range(5, size, 11):
+        small_splits(cut)
+        got = readers.read_worklist(spark, str(tmp_path), fmt="csv").orderBy("ord").collect()
+        assert [(r.thread_title, r.thread_link, r.thread_date) for r in got] == want, cut
+
+
+@pytest.mark.parametrize("charset", ["utf-8", "gbk"])
+def test_worklist_split_small_equals_the_csv_module(spark, tmp_path, small_splits, charset):
+    rnd = random.Random(7)
+    want = set()
+    for f in range(4):
+        alphabet = ['"', ",", "\n", "a", " ", "违章", "，"]
+        rows = [("".join(rnd.choices(alphabet, k=rnd.randint(0, 9))), f"https://f/{f}/{i}") for i in range(60)]
+        names = ("thread_title", "thread_link") if f % 2 else ("Post_Link", "post_title")
+        laid = [r if f % 2 else r[::-1] for r in rows]
+        (tmp_path / f"{f}.csv").write_bytes(_csv([names, *laid], "\r\n" if f == 1 else "\n").encode(charset))
+        want |= {(title or None, link) for title, link in rows}
+    for size in (64, 301):
+        small_splits(size)
+        got = readers.read_worklist(spark, str(tmp_path), fmt="csv").collect()
+        assert len(got) == 240 and {(r.thread_title, r.thread_link) for r in got} == want
+
+
+def test_worklist_odd_files(spark, tmp_path):
+    """Stray quotes inside a field, an unclosed one, rows too short and too long, blank lines, bytes of no charset."""
+    (tmp_path / "odd.csv").write_bytes(
+        b'\n\nthread_link,thread_title\nl1,5" screen\n\nl2\nl3,t,more,"x\ny"\nl4,\xff\xc4\nl5,"open,\n\nl6,x\n'
+    )
+    (tmp_path / "empty.csv").write_bytes(b"")
+    (tmp_path / "head.csv").write_bytes(b"thread_link\n")
+    got = readers.read_worklist(spark, str(tmp_path)).orderBy("ord").collect()
+    assert [r.thread_link for r in got] == ["l1", "l2", "l3", "l4", "l5"]
+    assert [r.thread_title for r in got][:3] == ['5" screen', None, "t"]
+    assert "\ufffd" in got[3].thread_title and got[4].thread_title.startswith("open,\n\nl6,x")
+    (tmp_path / "bad.csv").write_bytes(b"title,link\na,b\n")
+    with pytest.raises(ValueError, match="no thread_link or post_link"):
+        readers.read_worklist(spark, str(tmp_path))
+
+
 def test_output_names_and_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(' a "q",\nb ', None), ("违章", "x")], "thread_title string, thread_link string")
     path = writers.write_rows(df, str(tmp_path), "tieba", "forum_threads", STARTED, "csv")

@@ -13,6 +13,8 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # Work lists may be GBK files; the CSV reader knows that charset only with this switch.
     "spark.sql.legacy.javaCharsets": "true",
+    # Bytes that are no character of a file's charset become U+FFFD instead of ending the run.
+    "spark.sql.legacy.codingErrorAction": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +9,7 @@ from pyspark.sql import functions as F
 from threadloom import schemas
 from threadloom.functions.text import strip
 from threadloom.session import configure
+from threadloom.sources.csv_records import charset_of, csv_records, file_lines
 
 
 def read_keywords(
@@ -95,17 +94,10 @@ def latest_output(spark: SparkSession, pattern: str, folder: bool = False) -> st
 def file_charsets(spark: SparkSession, path: str) -> DataFrame:
     """Header line and charset of every file: utf-8 when all its bytes are, else utf-16 with a
     byte order mark, else gbk. The lines are checked in parallel, splits of one file too."""
-    raw = F.col("value").cast("binary")
-    lines = _load(spark.read.format("text"), path).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("at"),
-        "value",
-        F.is_valid_utf8("value").alias("utf8"),
-        F.substring(raw, 1, 2).isin(F.unhex(F.lit("FFFE")), F.unhex(F.lit("FEFF"))).alias("bom16"),
-    )
+    lines = file_lines(_load(spark.read.format("text"), path))
     return lines.groupBy("path").agg(
-        F.min_by("value", "at").alias("header"),
-        F.when(F.every("utf8"), "utf-8").when(F.some("bom16"), "utf-16").otherwise("gbk").alias("charset"),
+        F.min_by("value", F.struct("block", "line")).alias("header"),
+        charset_of(F.every("utf8"), F.some("bom16")).alias("charset"),
     )
 
 
@@ -114,9 +106,9 @@ def read_worklist(
 ) -> DataFrame:
     """Work-list CSV files as thread_title, thread_link, thread_date, whatever the file calls them.
 
-    Quoted fields may hold line breaks and quotes. Files are read per charset and header; give
-    ``charset`` to skip the look at the bytes when all files agree on both. ``ord`` keeps the
-    order of rows inside a file.
+    Quoted fields may hold line breaks and quotes. Charset and header may differ from file to file; give
+    ``charset`` when all files agree on it. All tasks read a large file together, unless it is in UTF-16: such
+    files are read one task each, and their paths pass through the driver. ``ord`` keeps the order of rows inside a file.
 
     A work list between jobs is Parquet (``fmt``), as ``write_rows`` leaves it, folders with
     partitions too; it is read in parallel and needs no look at charsets. By default the names of
@@ -131,19 +123,14 @@ def read_worklist(
         return _worklist(_load(spark.read.format("parquet"), path))
     if fmt != "csv":
         raise ValueError(f"work lists are csv or parquet, not {fmt}")
-    if charset:
+    if charset and charset.lower().replace("-", "").startswith("utf16"):
         return _worklist_csv(spark, [path], charset)
-    groups = (
-        file_charsets(spark, path)
-        .groupBy("charset", "header")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .orderBy("charset", "header")
-        .collect()
-    )
-    if not groups:
-        return spark.createDataFrame([], "thread_title string, thread_link string, thread_date string, ord bigint")
-    parts = [_worklist_csv(spark, row.paths, row.charset) for row in groups]
-    return reduce(DataFrame.unionByName, parts)
+    older = {new: old for old, new in schemas.WORKLIST_NAMES.items()}
+    wanted = {f.name: [f.name, older[f.name]] for f in schemas.WORKLIST}
+    rows, wide = csv_records(_load(spark.read.format("text"), path), wanted, "thread_link", charset)
+    rows = rows.select(*wanted, "ord")
+    paths = sorted(row.path for row in wide.collect())
+    return rows.unionByName(_worklist_csv(spark, paths, "utf-16")) if paths else rows
 
 
 def _worklist_csv(spark: SparkSession, paths: list[str], charset: str) -> DataFrame:
