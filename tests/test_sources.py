@@ -69,6 +69,21 @@ def test_worklist_charsets_headers_and_quoting(spark, tmp_path):
     assert sum(r.thread_title is None for r in rows) == 4
 
 
+def test_latest_committed_passes_over_unfinished_folders(spark, tmp_path):
+    df = spark.createDataFrame([("a", "l", None)], "thread_title string, thread_link string, reject_reason string")
+    first = writers.write_rows(df, str(tmp_path), "s", "forum_threads", STARTED)
+    second = writers.write_checked(df, str(tmp_path), "s", "forum_threads", STARTED.replace(hour=1))
+    third = writers.write_rows(df, str(tmp_path), "s", "forum_threads", STARTED.replace(hour=23), "csv")
+    for age, folder in ((30, first), (10, second), (0, third)):
+        os.utime(f"{folder}/_SUCCESS", (1_700_000_000 - age,) * 2)
+    name = lambda: readers.latest_committed(spark, f"{tmp_path}/s_forum_threads_*").rsplit("/", 1)[1]
+    assert name() == os.path.basename(third)
+    os.remove(f"{third}/_SUCCESS")
+    assert name() == os.path.basename(second)
+    with pytest.raises(FileNotFoundError, match="no finished output"):
+        readers.latest_committed(spark, f"{tmp_path}/none_*")
+
+
 @pytest.fixture
 def small_splits(spark):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")

@@ -66,3 +66,6 @@ WORKLIST_NAMES = {
     "post_link": "thread_link",
     "post_date": "thread_date",
 }
+
+# Left in an output folder by Spark's committer when all of its files are in place.
+COMMIT_MARK = "_SUCCESS"

@@ -91,6 +91,20 @@ def latest_output(spark: SparkSession, pattern: str, folder: bool = False) -> st
     return newest
 
 
+def latest_committed(spark: SparkSession, pattern: str) -> str:
+    """Path of the output folder matching ``pattern`` that was finished last.
+
+    A folder counts from the mark on that ``write_rows`` and ``write_checked`` leave when all tasks are done, so
+    one still being written, or left by a run that died, is passed over. Equal times are settled by the path.
+    """
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{pattern.rstrip('/')}/{schemas.COMMIT_MARK}")
+    found = mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(mark)
+    done = [(f.getModificationTime(), f.getPath().getParent().toString()) for f in found or []]
+    if not done:
+        raise FileNotFoundError(f"no finished output matches {pattern}")
+    return max(done)[1]
+
+
 def file_charsets(spark: SparkSession, path: str) -> DataFrame:
     """Header line and charset of every file: utf-8 when all its bytes are, else utf-16 with a
     byte order mark, else gbk. The lines are checked in parallel, splits of one file too."""
