@@ -24,13 +24,14 @@ from threadloom.registry.base import (
 from threadloom.registry.forums import article_items, thread_list
 from threadloom.session import fresh_folder
 from threadloom.sources.readers import (
+    latest_committed,
     latest_output,
     read_keywords,
     read_pages,
     read_seeds,
     read_worklist,
 )
-from threadloom.sources.writers import write_rows
+from threadloom.sources.writers import output_name, write_rows
 from threadloom.streaming.incremental import (
     append_to,
     item_stream,
@@ -117,6 +118,17 @@ def s4_latest_output(spark, sf_dir):
     return read_worklist(spark, newest).drop("ord")
 
 
+@query("s4_latest_committed", f"SELECT {_THREAD_SQL} FROM pages")
+def s4_latest_committed(spark, sf_dir):
+    threads, root = _threads(spark, sf_dir).drop("n"), fresh_folder(spark, "listings")
+    write_rows(threads, root, "articles", "forum_threads", STARTED)
+    # The newer folder is that of a run which ended before its mark was written.
+    unfinished = threads.withColumn("post_title", F.lit("half")).write
+    unfinished = unfinished.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    unfinished.parquet(f"{root}/{output_name('articles', 'forum_threads', STARTED.replace(hour=23))}")
+    return read_worklist(spark, latest_committed(spark, f"{root}/articles_forum_threads_*")).drop("ord")
+
+
 @query("s5_worklist_csv", f"SELECT {_THREAD_SQL} FROM pages")
 def s5_worklist_csv(spark, sf_dir):
     threads, root = _threads(spark, sf_dir), fresh_folder(spark, "worklists")
