@@ -42,20 +42,25 @@ def first_pages(pages: DataFrame, n: int) -> DataFrame:
     return kept.filter(F.struct("page_no", "url") <= F.col("_last")).drop("_last")
 
 
+def first_empty(pages: DataFrame, n_items: str = "n_items") -> DataFrame:
+    """Per forum, the (page_no, url) of its first page without records as ``_stop``; forums without one have no row."""
+    empty = pages.filter(F.col(n_items) == 0)
+    return empty.groupBy("site", "seed_url").agg(F.min(F.struct("page_no", "url")).alias("_stop"))
+
+
+def not_behind(kept: DataFrame) -> DataFrame:
+    """Pages that do not come after the ``_stop`` of their row."""
+    inside = F.col("_stop").isNull() | (F.struct("page_no", "url") <= F.col("_stop"))
+    return kept.filter(inside).drop("_stop")
+
+
 def pages_until_empty(pages: DataFrame, n_items: str = "n_items") -> DataFrame:
     """Pages up to and including the first page without records, per forum.
 
     The first empty page is a minimum, which is aggregated before the shuffle; a running sum
     would have to sort each forum in one task.
     """
-    empty = (
-        pages.filter(F.col(n_items) == 0)
-        .groupBy("site", "seed_url")
-        .agg(F.min(F.struct("page_no", "url")).alias("_stop"))
-    )
-    kept = lookup_join(pages, empty, ["site", "seed_url"], "left")
-    inside = F.col("_stop").isNull() | (F.struct("page_no", "url") <= F.col("_stop"))
-    return kept.filter(inside).drop("_stop")
+    return not_behind(lookup_join(pages, first_empty(pages, n_items), ["site", "seed_url"], "left"))
 
 
 def forum_stats(page_items: DataFrame, items: str = "items") -> DataFrame:

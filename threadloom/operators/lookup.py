@@ -13,6 +13,8 @@ from threadloom.functions.links import canonical_url
 from threadloom.session import stored
 
 NO_DESCRIPTION = "No description provided"
+#: Cells of a part: the finer the cells, the more evenly they fall on the parts.
+CELLS = 16
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
@@ -40,6 +42,12 @@ def with_forum(pages: DataFrame, seeds: DataFrame) -> DataFrame:
     return pages.withColumn("_key", canonical_url(F.col("seed_url"))).join(forums, ["site", "_key"], "inner").drop("_key")
 
 
+def _threads(worklist: DataFrame) -> DataFrame:
+    return worklist.select(
+        canonical_url(F.col("thread_link")).alias("_key"), "thread_title", "thread_link", "thread_date"
+    )
+
+
 def with_thread(pages: DataFrame, worklist: DataFrame) -> DataFrame:
     """Thread title, link and date for every page; pages of unknown threads keep nulls.
 
@@ -47,7 +55,39 @@ def with_thread(pages: DataFrame, worklist: DataFrame) -> DataFrame:
     page HTML. A thread that owns a third of the pages is split by the adaptive skew join
     (a left join may split its left side).
     """
-    threads = worklist.select(
-        canonical_url(F.col("thread_link")).alias("_key"), "thread_title", "thread_link", "thread_date"
-    )
-    return pages.withColumn("_key", canonical_url(F.col("seed_url"))).join(threads, "_key", "left").drop("_key")
+    keyed = pages.withColumn("_key", canonical_url(F.col("seed_url")))
+    return keyed.join(_threads(worklist), "_key", "left").drop("_key")
+
+
+def hot_threads(pages: DataFrame, parts: int) -> DataFrame:
+    """(_key, cells): threads with more pages than a sixteenth of an even part, and how many such cells they fill.
+
+    Of ``parts`` parts at most ``16 * parts`` threads can be that large, so the result is small whatever the data.
+    """
+    counts = pages.groupBy(canonical_url(F.col("seed_url")).alias("_key")).agg(F.count("*").alias("n"))
+    counts = stored(counts.filter("_key IS NOT NULL"), "thread-sizes")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    cell = max(1, total // (CELLS * parts))
+    return stored(counts.filter(F.col("n") > cell).select("_key", F.ceil(F.col("n") / cell).alias("cells")), "hot-threads")
+
+
+def with_thread_salted(pages: DataFrame, worklist: DataFrame, parts: int | None = None) -> DataFrame:
+    """``with_thread`` that splits large threads by a count, with or without adaptive execution.
+
+    Pages of a large thread are dealt out to cells by a hash of their link and number, and the one work-list row
+    of that thread is repeated for each cell; all other rows stay as they are. Pages without a thread link
+    match nothing and are dealt out the same way. The work list holds each thread once. Repeated rows
+    of one page share a cell.
+    """
+    spark = pages.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_threads(pages, parts)
+    spread = F.xxhash64("url", "page_no")
+    # At most 16 rows a part, by construction: the broadcast does not grow with the pages.
+    sized = pages.withColumn("_key", canonical_url(F.col("seed_url"))).join(F.broadcast(hot), "_key", "left")
+    cells = F.when(F.col("_key").isNull(), F.lit(CELLS * parts)).otherwise(F.coalesce("cells", F.lit(1)))
+    dealt = sized.withColumn("_cell", F.pmod(spread, cells)).drop("cells")
+    listed = _threads(worklist).join(F.broadcast(hot), "_key", "left")
+    last = F.coalesce("cells", F.lit(1)) - 1
+    repeated = listed.withColumn("_cell", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).drop("cells")
+    return dealt.join(repeated, ["_key", "_cell"], "left").drop("_key", "_cell")

@@ -11,7 +11,7 @@ from threadloom.functions.binding import let
 from threadloom.functions.markup import every, firsts, nested_regions, without_hidden
 from threadloom.functions.text import fallback
 from threadloom.operators.filters import allowed_host, first_per_link, usable_worklist
-from threadloom.operators.lookup import with_thread
+from threadloom.operators.lookup import with_thread, with_thread_salted
 from threadloom.operators.records import explode_items, tail_date, tail_position
 from threadloom.operators.validate import accepted, clean_validate, rejects
 from threadloom.profiles import PostPart, SiteProfile
@@ -70,9 +70,18 @@ def page_posts(pages: DataFrame, profile: SiteProfile) -> DataFrame:
     return pages.select(*keys, posts.alias("posts"))
 
 
-def extract_posts(pages: DataFrame, worklist: DataFrame, profile: SiteProfile) -> DataFrame:
-    """Raw post rows. Thread fields join the extracted arrays, one row per page, not the HTML."""
-    joined = with_thread(page_posts(pages, profile), worklist)
+def extract_posts(pages: DataFrame, worklist: DataFrame, profile: SiteProfile, salted: bool = False) -> DataFrame:
+    """Raw post rows. Thread fields join the extracted arrays, one row per page, not the HTML.
+
+    ``salted`` splits large threads by their counted pages, for jobs without adaptive execution. It counts
+    pages by link first and reads no HTML for that.
+    """
+    join = with_thread_salted if salted else with_thread
+    return post_rows(join(page_posts(pages, profile), worklist), profile)
+
+
+def post_rows(joined: DataFrame, profile: SiteProfile) -> DataFrame:
+    """One row per post of pages that have met their thread."""
     rows = explode_items(joined.withColumn("posts", _numbered("posts")), "posts", "_p")
     return rows.select(
         F.lit(profile.site).alias("site"),
