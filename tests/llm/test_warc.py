@@ -114,3 +114,39 @@ def test_archive_without_index(spark):
         out.write(archive([("x.warc.gz", b"".join(gzip.compress(r) for r in record))]).getvalue())
     found = warc.read_records(warc.locate_records(spark.createDataFrame([(f"{folder}/a.zip",)], "path string")))
     assert sorted((r.page_id, bytes(r.payload)) for r in found.collect()) == [(i, b"p%d" % i) for i in range(3)]
+
+
+def whole_archive(spark, entries):
+    folder = fresh_folder(spark, "plain")
+    files, base = filesystem(folder)
+    files.create_dir(base, recursive=True)
+    with files.open_output_stream(f"{base}/a.zip") as out:
+        out.write(archive(entries).getvalue())
+    paths = spark.createDataFrame([(f"{folder}/a.zip",), (None,)], "path string")
+    return sorted((r.page_id, bytes(r.payload)) for r in warc.read_records(warc.locate_records(paths)).collect())
+
+
+def test_members_that_no_index_line_names_are_read_whole(spark):
+    data = [warc.warc_record(i, None, b"p%d\r\n\r\n" % i, warc.digest(b"p%d\r\n\r\n" % i), None) for i in range(6)]
+    packed = [gzip.compress(r) for r in data]
+    line = b'com,a)/ 2024 {"filename": "x.warc.gz", "offset": "%d", "length": "%d"}\n' % (len(packed[0]), len(packed[1]))
+    entries = [
+        ("archive/x.warc.gz", packed[0] + packed[1]),
+        ("archive/y.warc.gz", packed[2] + packed[3]),
+        ("archive/z.warc", data[4] + data[5]),
+        ("archive/empty.warc", b""),
+        ("indexes/index.cdxj", line + b"\n"),
+    ]
+    # Of the first member one record is named, and only that one is read.
+    assert whole_archive(spark, entries) == [(i, b"p%d\r\n\r\n" % i) for i in range(1, 6)]
+
+
+@pytest.mark.parametrize("size", [1, 7, 64, 1000])
+def test_records_across_pieces(size):
+    data = [warc.warc_record(i, None, LONG[:n].encode(), warc.digest(LONG[:n].encode()), None) for i, n in enumerate((0, 5, 3000))]
+    cut = lambda x: (x[i : i + size] for i in range(0, len(x), size))
+    assert list(warc.plain_records(cut(b"".join(data)))) == data
+    assert list(warc.packed_records(cut(b"".join(map(gzip.compress, data))))) == data
+    for reader, whole in ((warc.plain_records, data[2]), (warc.packed_records, gzip.compress(data[2]))):
+        with pytest.raises(ValueError):
+            list(reader(cut(whole[:-20])))

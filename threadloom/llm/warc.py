@@ -10,7 +10,9 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import itertools
 import json
+import re
 import uuid
 import zipfile
 import zlib
@@ -30,6 +32,12 @@ DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 ARCHIVE_BYTES = 512 << 20
 #: Bytes of packed records that one task reads.
 READ_BYTES = 8 << 20
+#: Cells of neighbouring records that a part is dealt, on average, and the most parts of a read.
+CELLS, MOST_PARTS = 8, 50_000
+#: Bytes of a range that are read at a time.
+PIECE_BYTES = 4 << 20
+#: Records of a batch that a task returns.
+BATCH_RECORDS = 10_000
 DATE = "1970-01-01T00:00:00Z"
 RECORD = "page_id long, record_type string, refers_to long, payload_digest string, payload_bytes long, url string, payload binary"
 
@@ -129,6 +137,9 @@ def revisits(narrow: DataFrame, least_bytes: int = 0) -> DataFrame:
 def write_archives(spark: SparkSession, pages: DataFrame, folder: str, least_bytes: int = 0) -> DataFrame:
     """Write a record for each row of (page_id, url, html); returns (path, records, bytes) of each archive.
 
+    A null or empty html is an empty payload; a row without a link has no target, one without an id an empty one.
+    Repeated rows are written as often as they come; an empty table gives no archive. Other columns are not read.
+
     Every attempt of a task writes under a name of its own and renames the file once it is complete;
     the returned table holds the files of the attempts that counted.
     """
@@ -189,27 +200,34 @@ class Archive:
         return pa.RecordBatch.from_pylist([{"path": self.path, "records": len(self.index), "bytes": self.size}])
 
 
-def locate_records(archives: DataFrame) -> DataFrame:
-    """(path, start, length) of each record of the archives named in ``path``.
+def member_ranges(file) -> list[tuple[int, int]]:
+    """(start, length) of what there is to read in an archive: each record that an index line names, and each
+    stored WARC member, gzipped or plain, that no index line names, as a whole. A line that names no member is an error."""
+    members = directory(file)
+    data = {m.name: (data_start(file, m), m.size) for m in members if m.name.endswith((".warc.gz", ".warc"))}
+    ranges, named = [], set()
+    for m in members:
+        if not m.name.startswith("indexes/") or m.method != STORED:
+            continue
+        for line in read_range(file, data_start(file, m), m.size).splitlines():
+            if not line.strip():
+                continue
+            entry = json.loads(line[line.index(b"{") :])
+            name = entry["filename"] if entry["filename"] in data else f"archive/{entry['filename']}"
+            named.add(name)
+            ranges.append((data[name][0] + int(entry["offset"]), int(entry["length"])))
+    return ranges + [place for name, place in data.items() if name not in named]
 
-    An archive without an index gives one range for each stored ``.warc.gz`` member. An index line
-    that names no member is an error.
-    """
+
+def locate_records(archives: DataFrame) -> DataFrame:
+    """(path, start, length) of each range of records of the archives named in ``path``; rows without a path have none."""
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch.column(0).to_pylist():
+            for path in batch.column(0).drop_null().to_pylist():
                 files, inner = filesystem(path)
                 with files.open_input_file(inner) as file:
-                    members = directory(file)
-                    data = {m.name: (data_start(file, m), m.size) for m in members if m.name.endswith(".warc.gz")}
-                    indexes = [m for m in members if m.name.startswith("indexes/") and m.method == STORED]
-                    ranges = []
-                    for m in indexes:
-                        for line in read_range(file, data_start(file, m), m.size).splitlines():
-                            entry = json.loads(line[line.index(b"{") :])
-                            ranges.append((data[entry["filename"]][0] + entry["offset"], entry["length"]))
-                    ranges = ranges if indexes else list(data.values())
+                    ranges = member_ranges(file)
                 starts, lengths = zip(*ranges) if ranges else ((), ())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([path] * len(starts), pa.string()), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64())],
@@ -219,18 +237,56 @@ def locate_records(archives: DataFrame) -> DataFrame:
     return archives.select("path").mapInArrow(locate, "path string, start long, length long")
 
 
-def members_of(packed: bytes) -> Iterator[bytes]:
-    while packed:
-        reader = zlib.decompressobj(31)
-        yield reader.decompress(packed) + reader.flush()
-        packed = reader.unused_data
+def records_of(file, start: int, length: int) -> Iterator[bytes]:
+    """The records of a range, one at a time. The range is read in pieces, so a member of any size takes little memory."""
+    end = start + length
+    pieces = (read_range(file, at, min(PIECE_BYTES, end - at)) for at in range(start, end, PIECE_BYTES))
+    first = next(pieces, b"")
+    pieces = itertools.chain([first], pieces)
+    return plain_records(pieces) if first.startswith(b"WARC/") else packed_records(pieces)
+
+
+def packed_records(pieces: Iterator[bytes]) -> Iterator[bytes]:
+    """Records that are gzipped one by one."""
+    reader, made = None, []
+    for piece in pieces:
+        while piece:
+            reader = reader or zlib.decompressobj(31)
+            made.append(reader.decompress(piece))
+            piece = reader.unused_data
+            if reader.eof:
+                yield b"".join(made)
+                reader, made = None, []
+    if reader:
+        raise ValueError("a record ends too early")
+
+
+def plain_records(pieces: Iterator[bytes]) -> Iterator[bytes]:
+    """Records that follow each other as they are, cut by the lengths in their heads."""
+    held, at = bytearray(), 0
+    for piece in pieces:
+        held = held[at:] + piece
+        at = 0
+        while (blank := held.find(b"\r\n\r\n", at)) >= 0:
+            size = re.search(rb"(?im)^content-length:\s*(\d+)", bytes(held[at:blank]))
+            if not size:
+                raise ValueError("a record has no length")
+            end = blank + 8 + int(size[1])
+            if end > len(held):
+                break
+            yield bytes(held[at:end])
+            at = end
+    if held[at:].strip():
+        raise ValueError("a record ends too early")
 
 
 def read_records(ranges: DataFrame, payloads: bool = True) -> DataFrame:
     """The records at (path, start, length), with the columns of ``RECORD``.
 
-    The ranges are dealt out over the cluster in the order of the archives, so tasks share the records,
-    not the archives; there are as many parts as the records behind the narrow rows have ``READ_BYTES``. Without ``payloads`` the payload is checked, but not returned.
+    Cells of neighbouring ranges are dealt out over the cluster by a hash of archive and place, so tasks share the
+    records, not the archives, and nothing is sampled; there are as many parts as the records behind the narrow rows have
+    ``READ_BYTES``, and larger parts beyond ``MOST_PARTS``. Without ``payloads`` the payload is checked, but not returned.
+    An empty table gives no records; a range that is no record is an error.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,14 +299,14 @@ def read_records(ranges: DataFrame, payloads: bool = True) -> DataFrame:
                         file.close()
                     files, inner = filesystem(path)
                     file, opened = files.open_input_file(inner), path
-                for record in members_of(read_range(file, start, length)):
+                for record in records_of(file, start, length):
                     row = parse_record(record)
                     row["payload"] = row["payload"] if payloads else None
                     made.append(row)
                     size += len(row["payload"] or b"")
-                if size > 8 << 20:
-                    yield pa.RecordBatch.from_pylist(made, kind)
-                    made, size = [], 0
+                    if size > 8 << 20 or len(made) >= BATCH_RECORDS:
+                        yield pa.RecordBatch.from_pylist(made, kind)
+                        made, size = [], 0
             if made:
                 yield pa.RecordBatch.from_pylist(made, kind)
         if file:
@@ -259,8 +315,10 @@ def read_records(ranges: DataFrame, payloads: bool = True) -> DataFrame:
     types = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     kind = pa.schema([(n, types[t]) for n, t in (f.split() for f in RECORD.split(", "))])
     total = ranges.agg(F.sum("length")).first()[0] or 0
-    parts = 1 + total // READ_BYTES
-    return ranges.repartitionByRange(parts, "path", "start").sortWithinPartitions("path", "start").mapInArrow(read, RECORD)
+    parts = min(1 + total // READ_BYTES, MOST_PARTS)
+    cell = F.floor(F.col("start") / max(1, total // (parts * CELLS)))
+    dealt = ranges.repartition(parts, "path", cell).sortWithinPartitions("path", "start")
+    return dealt.mapInArrow(read, RECORD)
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, payloads: bool = True) -> DataFrame:
