@@ -2,7 +2,8 @@
 
 The vocabulary is a trie with two roots, for the first piece of a word and for those that follow. Each
 node knows where to go on when no edge fits (its failure link) and how many pieces that step
-takes off the word, counted beforehand. One walk over the bytes of a word then gives the number of
+takes off the word, counted beforehand. The first root fails to the second, so a word that begins with
+no word-initial piece is split into continuing ones. One walk over the bytes of a word then gives the number of
 its pieces, which are never built.
 """
 
@@ -46,6 +47,8 @@ class Automaton:
                     piece[node] = True
         self.fail = [NONE] * len(piece)
         self.pops = [0] * len(piece)
+        # A word that no word-initial piece begins, as in unspaced scripts, begins with a continuing one.
+        self.fail[0] = 1
         queue = deque([0, 1])
         while queue:
             parent = queue.popleft()
