@@ -59,3 +59,14 @@ def test_language_edges(spark):
     assert language.fit(empty_docs(spark)) is None
     assert {r.lang_pred for r in language.identify(docs, None).collect()} == {"und"}
     assert language.identify(empty_docs(spark), model).count() == 0
+
+
+def test_language_sample_is_bounded_by_rows_without_a_key(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_PER_LANGUAGE", 20)
+    taken = []
+    whole = language.presence
+    monkeypatch.setattr(language, "presence", lambda grams, *a: taken.append(len(grams)) or whole(grams, *a))
+    same = spark.range(3000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "concat('word ', id % 1000) AS text", "'en' AS lang")
+    assert language.fit(same) is not None
+    # Key and text are hashed together: neither all rows without a key are taken, nor repeated ones twice.
+    assert 0 < max(taken) < 60

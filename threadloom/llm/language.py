@@ -86,12 +86,12 @@ def kernel(rows: list[np.ndarray], landmarks: list[np.ndarray]) -> np.ndarray:
 def fit(docs: DataFrame, text: str = "text", language: str = "lang", row_key: str = "doc_id") -> Model | None:
     """A model from rows with a language; None if there are none.
 
-    About ``SAMPLE_PER_LANGUAGE`` rows of each language are taken by a hash of ``row_key``, whatever the
-    size of the table. Tasks reduce them to their sets of n-grams, so no text reaches the driver. The number of
+    About ``SAMPLE_PER_LANGUAGE`` rows of each language are taken by a hash of ``row_key`` and text, whatever the
+    size of the table, and rows that repeat both count once, so no repeated or missing key makes the sample larger. Tasks reduce them to their sets of n-grams, so no text reaches the driver. The number of
     languages is taken to be small.
     """
     named = docs.select(
-        F.col(language).alias("language"), F.xxhash64(F.col(row_key), F.lit(1)).alias("h"), F.col(text).alias("text")
+        F.col(language).alias("language"), F.xxhash64(F.col(row_key), F.col(text), F.lit(1)).alias("h"), F.col(text).alias("text")
     ).filter("language IS NOT NULL AND text IS NOT NULL")
     counts = {r["language"]: r["count"] for r in named.groupBy("language").count().collect()}
     if not counts:
@@ -102,7 +102,7 @@ def fit(docs: DataFrame, text: str = "text", language: str = "lang", row_key: st
     for name in languages:
         share = min(million, -(-million * SAMPLE_PER_LANGUAGE // counts[name]))
         part = F.when(F.col("language") == name, share).otherwise(part)
-    chosen = named.filter(F.pmod("h", F.lit(million)) < part).select("language", "h", "text")
+    chosen = named.filter(F.pmod("h", F.lit(million)) < part).select("language", "h", "text").dropDuplicates(["language", "h"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
