@@ -24,6 +24,8 @@ MATCH, GRAM = 100, 25
 WINDOW = MATCH - GRAM + 1
 #: Anchors that occur more often meet window by window, not in one task.
 HOT_ANCHOR = 50_000
+#: Cells of a part into which windows that repeat very often are dealt.
+CELLS = 16
 BLOCK = 1 << 20
 BATCH_BYTES = 4 << 20
 SPANS = ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType())]))
@@ -289,6 +291,27 @@ def search_contexts(contexts: DataFrame) -> DataFrame:
     )
 
 
+def later_windows(windows: DataFrame) -> DataFrame:
+    """The windows (a, b, doc_id, doc, at) that are not the first of their string.
+
+    A string with more windows than a sixteenth of an even part is dealt out to cells of that size by a hash of the
+    window's place, and its first place is repeated for each; fewer than ``CELLS`` strings a part can be that large.
+    """
+    place = F.struct("doc_id", "doc", "at")
+    firsts = windows.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    firsts = stored(firsts.filter("n > 1"), "first-windows")
+    parts = int(windows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cell = max(1, (firsts.agg(F.sum("n")).first()[0] or 0) // (CELLS * parts))
+    hot = stored(firsts.filter(F.col("n") > cell).select("a", "b", F.ceil(F.col("n") / cell).alias("cells")), "hot")
+    cells = F.coalesce("cells", F.lit(1))
+    # The bound above holds for any input, so this broadcast does not grow with it.
+    dealt = windows.join(F.broadcast(hot), ["a", "b"], "left")
+    dealt = dealt.withColumn("cell", F.pmod(F.xxhash64("doc", "at"), cells)).drop("cells")
+    every = firsts.drop("n").join(F.broadcast(hot), ["a", "b"], "left")
+    every = every.withColumn("cell", F.explode(F.sequence(F.lit(0).cast("long"), cells - 1))).drop("cells")
+    return dealt.join(every, ["a", "b", "cell"]).filter(place != F.col("first"))
+
+
 def merged(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
     """Maximal runs that intervals cover; touching ones are one."""
     made: list[tuple[int, int]] = []
@@ -324,7 +347,7 @@ def deduplicate(
     shared = stored(anchors.groupBy("anchor").count().filter("count > 1"), "anchors")
 
     def texts_with(named: DataFrame) -> DataFrame:
-        lists = named.groupBy(F.col("doc").alias("__doc")).agg(F.collect_list("anchor").alias("__anchors"))
+        lists = named.groupBy(F.col("doc").alias("__doc")).agg(F.collect_set("anchor").alias("__anchors"))
         joined = base.join(lists.hint("shuffle_hash"), "__doc")
         return joined.select(
             order, F.col("__doc").alias("doc"), F.col("__anchors").alias("anchors"), F.col(quoted(text)).alias("text")
@@ -334,15 +357,13 @@ def deduplicate(
     removed = search_contexts(context_rows(texts_with(met(shared.filter(F.col("count") <= hot_anchor)))))
     hot = shared.filter(F.col("count") > hot_anchor)
     if not hot.isEmpty():
-        windows = window_rows(texts_with(met(hot)))
-        place = F.struct("doc_id", "doc", "at")
-        firsts = windows.groupBy("a", "b").agg(F.min(place).alias("first"))
-        later = windows.join(firsts, ["a", "b"]).filter(place != F.col("first"))
+        later = later_windows(window_rows(texts_with(met(hot))))
         removed = removed.unionByName(
             later.select("doc", F.col("at").alias("start"), (F.col("at") + MATCH).alias("end"))
         )
+    # Sets, so that rows which repeat id and text do not pile up what each of them finds.
     runs = removed.groupBy(F.col("doc").alias("__doc")).agg(
-        F.collect_list(F.struct("start", "end")).alias("__runs")
+        F.collect_set(F.struct("start", "end")).alias("__runs")
     )
     marked = base.join(runs.hint("shuffle_hash"), "__doc", "left")
     both = F.struct(F.col("__runs").alias("runs"), F.encode(F.coalesce(F.col(quoted(text)), F.lit("")), "UTF-8").alias("text"))
