@@ -3,7 +3,6 @@ import random
 import numpy as np
 import pytest
 from edges import edge_docs, empty_docs
-from pyspark.sql import functions as F
 
 from threadloom.llm import suffix_dedup as S
 
@@ -89,19 +88,3 @@ def test_rows_that_repeat_id_and_text_cost_no_more_than_rows(spark, hot):
     docs = same.unionByName(spark.createDataFrame([(2, text[500:900])], "doc_id long, text string"))
     rows = S.deduplicate(docs, hot_anchor=hot).groupBy("doc_id", "spans").count().collect()
     assert sorted((r.doc_id, [tuple(x) for x in r.spans], r["count"]) for r in rows) == [(1, [], 1500), (2, [(0, 400)], 1)]
-
-
-def test_a_hot_window_is_dealt_out(spark):
-    rows = "id % 3 = 0 AS same, id AS doc_id, id AS doc, 0 AS at"
-    windows = spark.range(9000).selectExpr(*(x.strip() for x in rows.split(",")))
-    windows = windows.selectExpr("IF(same, -1, doc DIV 6) AS a", "7L AS b", "doc_id", "doc", "at")
-    before = spark.conf.get("spark.sql.adaptive.enabled")
-    try:
-        spark.conf.set("spark.sql.adaptive.enabled", "false")
-        later = S.later_windows(windows)
-        sizes = [r["count"] for r in later.groupBy(F.spark_partition_id().alias("p")).count().collect()]
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", before)
-    # 3,000 windows of one string and 4 each of 1,500 others; the first of each string stays.
-    assert sum(sizes) == 2999 + 3 * 1500 and max(sizes) < 1.6 * min(sizes)
-    assert later.select("doc").distinct().count() == sum(sizes)
